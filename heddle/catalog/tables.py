@@ -301,9 +301,9 @@ def w4(spark, sf):
     return prefix_sums(s, [], ["_h"], {"upto": "n"}).drop("_h")
 
 
-@query("w5_rank", f"""WITH {X} SELECT cell_id, gene_id, value, CAST(row_number() OVER (PARTITION BY cell_id ORDER BY value, gene_id) AS INTEGER) AS rank FROM x""")
+@query("w5_rank", f"""WITH {X} SELECT cell_id, gene_id, value, row_number() OVER (PARTITION BY cell_id ORDER BY value, gene_id) AS rank FROM x""")
 def w5(spark, sf):
-    return win.rank_neighbors(view.x(spark, sf), "cell_id", "value", "gene_id")
+    return win.rank_rows(view.x(spark, sf), "cell_id", "value", "gene_id")
 
 
 @query("w6_scale_minmax", """SELECT p_partkey AS id, round((p_size - min(p_size) OVER ()) / (max(p_size) OVER () - min(p_size) OVER ()), 9) AS p_size,
@@ -337,8 +337,8 @@ def l1(spark, sf):
 
 
 @query("l2_within_sample", f"""WITH {OBS}, s AS (SELECT sample, md5('42|' || sample) AS h FROM obs GROUP BY 1 HAVING count(*) >= 50),
-    r AS (SELECT sample, row_number() OVER (ORDER BY h) AS at FROM s)
-  SELECT cell_id, sample FROM obs JOIN (SELECT sample FROM r WHERE (at - 1) * 50 < 900) USING (sample)
+    r AS (SELECT sample, row_number() OVER (ORDER BY h) AS pos FROM s)
+  SELECT cell_id, sample FROM obs JOIN (SELECT sample FROM r WHERE (pos - 1) * 50 < 900) USING (sample)
   QUALIFY row_number() OVER (PARTITION BY sample ORDER BY md5('42|' || cell_id), cell_id) <= 50""")
 def l2(spark, sf):
     return sm.within_sample(view.obs(spark, sf).select("cell_id", "sample"), 900, "sample", 50)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -10,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heddle.functions.ordering import exact_quantiles
-from heddle.functions.runtime import join_keys, quoted
+from heddle.functions.runtime import cut, join_keys, quoted
 from heddle.functions.scalar import as_text, log1p_base
 from heddle.operators.joins import first_per_key
 from heddle.operators.obs import in_range
@@ -52,31 +51,33 @@ def dataset_summary(
     obs: DataFrame, var: DataFrame, sample: str, donor: str, categories: Sequence[str] = ()
 ) -> DataFrame:
     """One row of dataset statistics; ``obs`` carries ``n_counts`` and ``n_genes``."""
-    per_sample = value_counts(obs, sample)
-    per_donor = value_counts(obs, donor)
-    base = obs.agg(F.count(F.lit(1)).alias("n_cells"))
-    sizes = lambda df, tag: df.agg(
-        F.count(F.lit(1)).alias(f"n_{tag}s"),
-        F.avg("count").alias(f"mean_cells_per_{tag}"),
-    )
-    median = lambda df, col, alias: exact_quantiles(df, [], col, {alias: 0.5})
+    slim = cut(obs.select(*dict.fromkeys([sample, donor, "n_counts", "n_genes", *categories])), "summary")
+    counted = {"sample": value_counts(slim, sample), "donor": value_counts(slim, donor)}
+    measures = [
+        df.select(F.lit(f"cells_per_{tag}").alias("measure"), F.col("count").cast("double").alias("v"))
+        for tag, df in counted.items()
+    ] + [
+        slim.select(F.lit(f"{c}_per_cell").alias("measure"), quoted(f"n_{c}").cast("double").alias("v"))
+        for c in ("counts", "genes")
+    ]
+    stacked = reduce(DataFrame.unionByName, measures)
+    medians = exact_quantiles(stacked, ["measure"], "v", {"median": 0.5})
+    names = ["cells_per_sample", "cells_per_donor", "counts_per_cell", "genes_per_cell"]
+    pick = lambda m: F.max(F.when(F.col("measure") == m, F.col("median")))
     singles = [
+        slim.agg(F.count(F.lit(1)).alias("n_cells")),
         var.agg(F.count(F.lit(1)).alias("n_genes")),
-        sizes(per_sample, "sample"),
-        sizes(per_donor, "donor"),
-        median(per_sample, "count", "median_cells_per_sample"),
-        median(per_donor, "count", "median_cells_per_donor"),
-        median(obs, "n_counts", "median_counts_per_cell"),
-        median(obs, "n_genes", "median_genes_per_cell"),
+        *[
+            df.agg(F.count(F.lit(1)).alias(f"n_{tag}s"), F.avg("count").alias(f"mean_cells_per_{tag}"))
+            for tag, df in counted.items()
+        ],
+        medians.agg(*[pick(m).alias(f"median_{m}") for m in names]),
     ]
     for c in categories:
-        distinct = obs.select(as_text(obs, c).alias(c)).distinct()
+        distinct = slim.select(as_text(slim, c).alias(c)).distinct()
         singles.append(distinct.agg(F.array_join(F.array_sort(F.collect_list(c)), ",").alias(c)))
-    out = base
-    for one in singles:
-        for c in one.columns:
-            out = out.withColumn(c, one.select(quoted(c)).scalar())
-    return out
+    fields = {c: one.select(quoted(c)).scalar() for one in singles[1:] for c in one.columns}
+    return singles[0].withColumns(fields)
 
 
 def total_summary(frames: Sequence[DataFrame], columns: Sequence[str]) -> DataFrame:
@@ -347,7 +348,3 @@ def group_list(df: DataFrame, column: str) -> DataFrame:
     """Distinct present groups plus ``all``."""
     groups = df.select(quoted(column).cast("string").alias("group")).na.drop().distinct()
     return groups.union(df.sparkSession.createDataFrame([("all",)], "group string"))
-
-
-def log_base(value: float, base: float) -> float:
-    return math.log1p(value) / math.log(base)
