@@ -314,9 +314,14 @@ def _gamma_tail(a: float, x: float) -> float:
     return front * h
 
 
-@F.pandas_udf("double")
-def chi2_tail(stat: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([_gamma_tail(f / 2.0, s / 2.0) if f > 0 else 1.0 for s, f in zip(stat, dof)], dtype=float)
+def chi2_tail(stat: Column, dof: Column) -> Column:
+    """Upper tail probability of the chi-square distribution."""
+
+    @F.pandas_udf("double")
+    def tail(s: pd.Series, f: pd.Series) -> pd.Series:
+        return pd.Series([_gamma_tail(b / 2.0, a / 2.0) if b > 0 else 1.0 for a, b in zip(s, f)], dtype=float)
+
+    return tail(stat, dof)
 
 
 def kbet_statistic(edges: DataFrame, df: DataFrame, batch: str, within: str | None = None) -> DataFrame:
