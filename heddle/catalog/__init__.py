@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ["relational", "tables", "matrix", "graphs", "scores", "quality"]
+MODULES = ["relational", "tables", "matrix", "graphs", "scores", "quality", "labels"]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
