@@ -45,6 +45,11 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def drop_missing(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Rows where all named columns are present."""
+    return df.filter(reduce(lambda a, b: a & b, [quoted(n).isNotNull() for n in names], F.lit(True)))
+
+
 def join_keys(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL; the left keys are kept."""
     keys = list(keys)

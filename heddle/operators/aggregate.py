@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heddle.functions.ordering import exact_quantiles
-from heddle.functions.runtime import cut, join_keys, quoted
+from heddle.functions.runtime import cut, drop_missing, join_keys, quoted
 from heddle.functions.scalar import as_text, log1p_base
 from heddle.operators.joins import first_per_key
 from heddle.operators.obs import in_range
 
 
 def value_counts(df: DataFrame, *columns: str, dropna: bool = True) -> DataFrame:
-    source = df.na.drop(subset=list(columns)) if dropna else df
+    source = drop_missing(df, list(columns)) if dropna else df
     return source.groupBy(*[quoted(c) for c in columns]).agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -87,7 +87,7 @@ def total_summary(frames: Sequence[DataFrame], columns: Sequence[str]) -> DataFr
 
 def group_sizes(obs: DataFrame, groups: Sequence[str], min_cells: int = 2) -> DataFrame:
     cols = [quoted(g) for g in groups]
-    sizes = obs.na.drop(subset=list(groups)).groupBy(*cols).agg(F.count(F.lit(1)).alias("n_cells"))
+    sizes = drop_missing(obs, list(groups)).groupBy(*cols).agg(F.count(F.lit(1)).alias("n_cells"))
     return sizes.filter(F.col("n_cells") >= min_cells)
 
 
@@ -115,7 +115,7 @@ def pseudobulk(
 def group_metadata(obs: DataFrame, group: str, order: str = "cell_id", min_cells: int = 2) -> DataFrame:
     """First row of every group that is large enough."""
     kept = group_sizes(obs, [group], min_cells).select(quoted(group))
-    return first_per_key(obs.na.drop(subset=[group]), [group], [order]).join(kept, group, "left_semi")
+    return first_per_key(drop_missing(obs, [group]), [group], [order]).join(kept, group, "left_semi")
 
 
 def pair_group(obs: DataFrame, group: str, sample: str, name: str = "pseudo_group") -> DataFrame:
@@ -155,7 +155,7 @@ def unique_rows(df: DataFrame) -> DataFrame:
 
 def crosstab(df: DataFrame, row: str, column: str, normalize: bool = False) -> DataFrame:
     """Wide count table, optionally as shares of the row total."""
-    counts = df.na.drop(subset=[row, column]).groupBy(quoted(row)).pivot(column).count().na.fill(0)
+    counts = drop_missing(df, [row, column]).groupBy(quoted(row)).pivot(column).count().na.fill(0)
     if not normalize:
         return counts
     values = [c for c in counts.columns if c != row]
@@ -227,7 +227,7 @@ def dotplot(obs: DataFrame, x: DataFrame, group: str, markers: DataFrame, scale:
     Every group is paired with every marker it lacks through the marker list of
     the group, so absent entries count as zero.
     """
-    sizes = obs.na.drop(subset=[group]).groupBy(quoted(group)).agg(F.count(F.lit(1)).alias("n"))
+    sizes = drop_missing(obs, [group]).groupBy(quoted(group)).agg(F.count(F.lit(1)).alias("n"))
     genes = markers.select("gene_id").distinct()
     stats = (
         x.join(genes, "gene_id", "left_semi")

@@ -12,7 +12,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heddle.functions.runtime import cut, join_keys, quoted
+from heddle.functions.runtime import cut, drop_missing, join_keys, quoted
 from heddle.operators import matrix as mx
 from heddle.operators.graph import connectivities
 from heddle.operators.neighbors import knn
@@ -41,7 +41,7 @@ def combat_model(
     intercept``; the second table maps cells to ``combo``.
     """
     names = [batch, *covariates]
-    keyed = obs.na.drop(subset=names).select("cell_id", *[quoted(c).cast("string").alias(c) for c in names])
+    keyed = drop_missing(obs, names).select("cell_id", *[quoted(c).cast("string").alias(c) for c in names])
     sizes = keyed.groupBy(*[quoted(c) for c in names]).agg(F.count(F.lit(1)).alias("_n")).orderBy(*[quoted(c) for c in names])
     combos = _bounded(sizes, MAX_GROUPS, "batch and covariate groups")
     spark = obs.sparkSession
@@ -174,7 +174,7 @@ def harmony(
     levels = {b: [r[0] for r in _bounded(obs.select(quoted(b).cast("string").alias("b")).na.drop().distinct().orderBy("b"), MAX_GROUPS, "batches")] for b in batches}
     offsets = np.cumsum([0, *[len(v) for v in levels.values()]])
     n_levels = int(offsets[-1])
-    coded = obs.na.drop(subset=list(batches)).select(
+    coded = drop_missing(obs, list(batches)).select(
         "cell_id", F.array(*[
             F.array_position(F.array(*[F.lit(v) for v in levels[b]]), quoted(b).cast("string")).cast("int") - 1 + int(offsets[i])
             for i, b in enumerate(batches)
@@ -193,7 +193,9 @@ def harmony(
     k = len(centers)
     share = np.array([r["n"] for r in rows.select(F.explode("codes").alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy("c").collect()]) / n
     id_type = emb.schema["cell_id"].dataType.simpleString()
-    observed = expected = np.zeros((k, n_levels))
+    # All rows are updated together, so the diversity weight moves only part of the way
+    # to its new value; this share makes the update settle instead of swinging.
+    penalty, damping = np.zeros((k, n_levels)), 1.0 / (1.0 + theta)
 
     def responsibilities(v: np.ndarray, codes: np.ndarray, centers, penalty) -> np.ndarray:
         u = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
@@ -218,7 +220,6 @@ def harmony(
     previous = np.inf
     for _ in range(max_rounds):
         for _ in range(inner_rounds):
-            penalty = theta * (np.log(expected + 1.0) - np.log(observed + 1.0))
 
             def moments(frames: Iterator[pd.DataFrame], centers=centers, penalty=penalty) -> Iterator[pd.DataFrame]:
                 total = np.zeros(k * (d + n_levels) + 1)
@@ -237,7 +238,8 @@ def harmony(
             observed = stats[k * d : -1].reshape(k, n_levels)
             mass = observed[:, offsets[0] : offsets[1]].sum(axis=1)
             expected = mass[:, None] * share[None, :]
-        penalty = theta * (np.log(expected + 1.0) - np.log(observed + 1.0))
+            target = theta * (np.log(expected + 1.0) - np.log(observed + 1.0))
+            penalty = (1.0 - damping) * penalty + damping * target
         p = n_levels + 1
         shape = p * p + p * d
 

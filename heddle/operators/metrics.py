@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heddle.functions.ordering import exact_quantiles, hash_key, hash_normal
-from heddle.functions.runtime import cut, join_keys, quoted
+from heddle.functions.runtime import cut, drop_missing, join_keys, quoted
 from heddle.operators import neighbors as nb
 from heddle.operators.graph import cluster, connected_components, connectivities
 from heddle.operators.sample import bootstrap_ids
@@ -27,7 +27,7 @@ from heddle.operators.sample import bootstrap_ids
 def contingency(df: DataFrame, a: str, b: str, keys: Sequence[str] = ()) -> DataFrame:
     """Counts of label pairs with both margins; rows with a missing label are dropped."""
     keys = list(keys)
-    kept = df.na.drop(subset=[a, b])
+    kept = drop_missing(df, [a, b])
     cells = kept.groupBy(*[quoted(k) for k in keys], quoted(a).alias("_a"), quoted(b).alias("_b")).agg(
         F.count(F.lit(1)).alias("n_ij")
     )
@@ -61,7 +61,7 @@ def nmi(df: DataFrame, a: str, b: str, keys: Sequence[str] = ()) -> DataFrame:
 def ari(df: DataFrame, a: str, b: str, keys: Sequence[str] = ()) -> DataFrame:
     """Adjusted Rand index of two labelings."""
     keys = list(keys)
-    cells = df.na.drop(subset=[a, b]).groupBy(*[quoted(k) for k in keys], quoted(a).alias("_a"), quoted(b).alias("_b")).agg(
+    cells = drop_missing(df, [a, b]).groupBy(*[quoted(k) for k in keys], quoted(a).alias("_a"), quoted(b).alias("_b")).agg(
         F.count(F.lit(1)).cast("double").alias("n")
     )
     pairs = lambda c: F.sum(c * (c - 1) / 2)
@@ -176,7 +176,7 @@ def asw_batch(emb: DataFrame, batch: str, label: str) -> DataFrame:
 
 def isolated_labels(df: DataFrame, label: str, batch: str) -> DataFrame:
     """Labels found in the fewest batches."""
-    spread = df.na.drop(subset=[label]).groupBy(quoted(label)).agg(F.countDistinct(quoted(batch)).alias("n_batches"))
+    spread = drop_missing(df, [label]).groupBy(quoted(label)).agg(F.countDistinct(quoted(batch)).alias("n_batches"))
     least = spread.agg(F.min("n_batches")).scalar()
     return spread.filter(F.col("n_batches") == least)
 
@@ -237,7 +237,8 @@ def simpson_udf(perplexity: float):
             d[i, : len(row)] = row
             c[i, : len(code)] = code
         present = np.isfinite(d)
-        safe = np.where(present, d, 0.0)
+        # The kernel weights do not change when the nearest distance is taken off.
+        safe = np.where(present, d - d.min(axis=1, keepdims=True), 0.0)
         beta, lo, hi = np.ones(len(d)), np.full(len(d), -np.inf), np.full(len(d), np.inf)
         for _ in range(60):
             p = np.where(present, np.exp(-safe * beta[:, None]), 0.0)
@@ -354,7 +355,7 @@ def kbet(edges: DataFrame, df: DataFrame, batch: str, within: str | None = None,
 
 
 def kbet_per_label(emb: DataFrame, batch: str, label: str, k: int = 50, alpha: float = 0.05) -> DataFrame:
-    edges = nb.knn(emb.na.drop(subset=[label]), k - 1, same=label)
+    edges = nb.knn(drop_missing(emb, [label]), k - 1, same=label)
     return kbet(edges, emb, batch, within=label, alpha=alpha)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heddle.functions.ordering import hash_key, prefix_sums, sample_exact
-from heddle.functions.runtime import quoted
+from heddle.functions.runtime import drop_missing, quoted
 
 
 def by_sample(
@@ -20,7 +20,7 @@ def by_sample(
     exceed the limit, so the result may overshoot by one sample.
     """
     counts = (
-        obs.na.drop(subset=[sample_key])
+        drop_missing(obs, [sample_key])
         .groupBy(quoted(sample_key))
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") >= min_cells_per_sample)
@@ -44,7 +44,7 @@ def within_sample(
     Samples with fewer cells are skipped; samples are added until the limit is
     reached.
     """
-    counts = obs.na.drop(subset=[sample_key]).groupBy(quoted(sample_key)).agg(F.count(F.lit(1)).alias("_n"))
+    counts = drop_missing(obs, [sample_key]).groupBy(quoted(sample_key)).agg(F.count(F.lit(1)).alias("_n"))
     if n_cell_max is None or n_cells_per_sample is None:
         sizes = counts.agg(F.count(F.lit(1)).alias("samples"), F.sum("_n").alias("cells")).first()
         n_cell_max = (sizes["cells"] or 0) if n_cell_max is None else n_cell_max

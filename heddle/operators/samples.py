@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heddle.functions.ordering import sample_exact
-from heddle.functions.runtime import cut, join_keys, quoted
+from heddle.functions.runtime import cut, drop_missing, join_keys, quoted
 from heddle.operators.aggregate import pseudobulk
 from heddle.operators.graph import connectivities
 from heddle.operators.matrix import feature_index, to_vectors
@@ -73,7 +73,7 @@ def _type_index(df: DataFrame, cell_type: str) -> list[str]:
 def compositions(df: DataFrame, sample: str, cell_type: str) -> DataFrame:
     """Share of each type per sample as a dense array in type order."""
     types = _type_index(df, cell_type)
-    kept = df.na.drop(subset=[sample, cell_type])
+    kept = drop_missing(df, [sample, cell_type])
     counts = kept.groupBy(quoted(sample).alias("cell_id")).agg(
         F.count(F.lit(1)).alias("_n"), *[F.count_if(quoted(cell_type).cast("string") == t).alias(f"_t{i}") for i, t in enumerate(types)]
     )
@@ -86,7 +86,7 @@ def composition_distances(df: DataFrame, sample: str, cell_type: str) -> DataFra
 
 def cell_type_distances(emb: DataFrame, sample: str, cell_type: str) -> DataFrame:
     """Mean over shared types of the distance between the type means of two samples."""
-    means = mean_vectors(emb.na.drop(subset=[sample, cell_type]), sample, cell_type)
+    means = mean_vectors(drop_missing(emb, [sample, cell_type]), sample, cell_type)
     rows = cut(
         means.groupBy(quoted(sample).alias("cell_id")).agg(
             F.sort_array(F.collect_list(F.struct(quoted(cell_type).cast("string").alias("t"), "v"))).alias("m")
@@ -119,7 +119,7 @@ def cell_type_distances(emb: DataFrame, sample: str, cell_type: str) -> DataFram
 def transport_distances(emb: DataFrame, sample: str, cell_type: str, reg: float = 0.1, rounds: int = 200) -> DataFrame:
     """Entropic transport cost between type compositions; cost = centroid distance."""
     types = _type_index(emb, cell_type)
-    centroids = mean_vectors(emb.na.drop(subset=[cell_type]), cell_type).select(quoted(cell_type).cast("string").alias("t"), "v").toPandas()
+    centroids = mean_vectors(drop_missing(emb, [cell_type]), cell_type).select(quoted(cell_type).cast("string").alias("t"), "v").toPandas()
     at = {t: np.asarray(v) for t, v in zip(centroids["t"], centroids["v"])}
     points = np.stack([at[t] for t in types])
     cost = block_distances(points, points)
@@ -155,7 +155,7 @@ def fit_sample_mixtures(
     tables stay in Spark and are joined to the rows.
     """
     rows = cut(
-        emb.na.drop(subset=[sample]).select("cell_id", quoted(sample).alias("sample"), F.slice("v", 1, n_dims).alias("v")), "mixture"
+        drop_missing(emb, [sample]).select("cell_id", quoted(sample).alias("sample"), F.slice("v", 1, n_dims).alias("v")), "mixture"
     )
     first = rows.first()
     d = 0 if first is None else len(first["v"])
