@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from heddle.catalog import query
 from heddle.catalog.graphs import DIST, KNN, graph, weights
 from heddle.catalog.matrix import CYCLE_SETS, cycle_sets, score_sql
 from heddle.catalog.tables import r6
+from heddle.functions.ordering import running_index
 from heddle.functions.runtime import cut
 from heddle.operators import matrix as mx, metrics as mt
 from heddle.plans import evaluate as ev, registry, view
@@ -253,9 +253,9 @@ RING = f"""{OBS}, ring AS (SELECT cell_id AS src, lead(cell_id) OVER (PARTITION
 
 def ring(spark, sf):
     """Graph that links each observation to the next one of its donor."""
-    w = Window.partitionBy("donor").orderBy("cell_id")
-    o = view.obs(spark, sf)
-    return o.select(F.col("cell_id").alias("src"), F.lead("cell_id").over(w).alias("dst"), F.lit(1.0).alias("weight")).na.drop()
+    placed = cut(running_index(view.obs(spark, sf).select("cell_id", "donor"), ["donor"], ["cell_id"], "pos"))
+    following = placed.select("donor", (F.col("pos") - 1).alias("pos"), F.col("cell_id").alias("dst"))
+    return placed.join(following, ["donor", "pos"]).select(F.col("cell_id").alias("src"), "dst", F.lit(1.0).alias("weight"))
 
 
 @query("x20_morans_i_sets", f"""WITH {RING}, {X}, {VAR}, g AS (SELECT gene_set AS set_id, gene_id FROM var WHERE size > 30),

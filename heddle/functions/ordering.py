@@ -133,8 +133,9 @@ def sample_exact(
 ) -> DataFrame:
     """Exactly ``n`` rows (of each key), first in hash order.
 
-    Rows are counted per hash prefix; whole prefixes below the cut are taken and
-    only the prefix at the cut is ranked, so no task ever sees a whole group.
+    Rows are counted per hash prefix; whole prefixes below the cut pass without a
+    shuffle of their own, and only the prefix at the cut is ranked, so no task ever
+    sees a whole group.
     """
     keys = list(keys)
     wanted = F.lit(n) if isinstance(n, int) else n
@@ -144,11 +145,10 @@ def sample_exact(
     cols = [quoted(k) for k in keys]
     counts = marked.groupBy(*cols, "_b").agg(F.count(F.lit(1)).alias("_in"))
     before = Window.partitionBy(*cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("_before", F.coalesce(F.sum("_in").over(before), F.lit(0))).drop("_in")
-    pruned = join_keys(marked, starts, [*keys, "_b"]).filter(F.col("_before") < wanted)
+    starts = counts.withColumn("_before", F.coalesce(F.sum("_in").over(before), F.lit(0)))
+    placed = join_keys(marked, starts, [*keys, "_b"])
+    below = F.col("_before") + F.col("_in") <= wanted
     inside = Window.partitionBy(*cols, "_b").orderBy("_h", quoted(id_col))
-    return (
-        pruned.withColumn("_rn", F.row_number().over(inside))
-        .filter(F.col("_rn") + F.col("_before") <= wanted)
-        .drop("_h", "_b", "_before", "_rn")
-    )
+    edge = placed.filter(~below & (F.col("_before") < wanted)).withColumn("_rn", F.row_number().over(inside))
+    edge = edge.filter(F.col("_rn") + F.col("_before") <= wanted).drop("_rn")
+    return placed.filter(below).unionByName(edge).drop("_h", "_b", "_before", "_in")

@@ -6,7 +6,7 @@ variances and ranks count the absent zeros through the number of cells.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
@@ -69,7 +69,30 @@ def feature_index(features: DataFrame) -> DataFrame:
     return indexed.select("gene_id", (F.col("_at") - 1).cast("int").alias("idx"))
 
 
-def to_vectors(x: DataFrame, obs: DataFrame, index: DataFrame, n_features: int) -> DataFrame:
+def densify(lists: DataFrame, keys: Sequence[str], width: int, adjust: Callable | None = None) -> DataFrame:
+    """Dense array ``v`` from the position and value lists ``_i`` and ``_v`` of each row.
+
+    Rows are expanded in blocks of bounded size; ``adjust`` may change a block.
+    """
+    step = max(1, 4_000_000 // max(width, 1))
+
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), step):
+                pdf = batch.iloc[start : start + step]
+                dense = np.zeros((len(pdf), width))
+                for r, (i, v) in enumerate(zip(pdf["_i"], pdf["_v"])):
+                    if i is not None:
+                        dense[r, np.asarray(i, dtype=int)] = v
+                yield pdf[list(keys)].assign(v=list(dense if adjust is None else adjust(dense)))
+
+    types = ", ".join(f"`{k}` {lists.schema[k].dataType.simpleString()}" for k in keys)
+    return lists.select(*[quoted(k) for k in keys], "_i", "_v").mapInPandas(fill, f"{types}, v array<double>")
+
+
+def to_vectors(
+    x: DataFrame, obs: DataFrame, index: DataFrame, n_features: int, adjust: Callable | None = None
+) -> DataFrame:
     """One dense array per cell over the indexed features; empty cells are all zero."""
     if n_features > MAX_DENSE_FEATURES:
         raise ValueError(f"{n_features} features are too many for dense rows; select features first")
@@ -78,18 +101,7 @@ def to_vectors(x: DataFrame, obs: DataFrame, index: DataFrame, n_features: int)
         .groupBy("cell_id")
         .agg(F.collect_list("idx").alias("_i"), F.collect_list("value").alias("_v"))
     )
-    full = obs.select("cell_id").join(rows, "cell_id", "left")
-
-    def densify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            dense = np.zeros((len(pdf), n_features))
-            for r, (i, v) in enumerate(zip(pdf["_i"], pdf["_v"])):
-                if i is not None:
-                    dense[r, np.asarray(i, dtype=int)] = v
-            yield pd.DataFrame({"cell_id": pdf["cell_id"], "v": list(dense)})
-
-    id_type = obs.schema["cell_id"].dataType.simpleString()
-    return full.mapInPandas(densify, f"cell_id {id_type}, v array<double>")
+    return densify(obs.select("cell_id").join(rows, "cell_id", "left"), ["cell_id"], n_features, adjust)
 
 
 def from_vectors(vectors: DataFrame, index: DataFrame, vector: str = "v") -> DataFrame:
@@ -323,19 +335,14 @@ def matrix_pca(
     if n == 0 or obs.isEmpty():
         empty = obs.select("cell_id", F.array().cast("array<double>").alias("v")).limit(0)
         return pca(empty, n_comps)
-    vectors = to_vectors(x, obs, index, n)
+    standardize = None
     if scaled:
         moments = index.join(feature_moments(x, count_rows(obs)), "gene_id", "left").orderBy("idx").toPandas()
         mean = moments["mean"].fillna(0.0).to_numpy()
         sd = np.sqrt(moments["var"].fillna(0.0).to_numpy())
         sd[sd == 0] = 1.0
-
-        def standardize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                z = (np.stack(pdf["v"]) - mean) / sd
-                yield pdf.assign(v=list(np.clip(z, -max_value, max_value)))
-
-        vectors = vectors.mapInPandas(standardize, vectors.schema)
+        standardize = lambda dense: np.clip((dense - mean) / sd, -max_value, max_value)
+    vectors = to_vectors(x, obs, index, n, standardize)
     scores, loadings, variance = pca(cut(vectors, "dense"), n_comps)
     return scores, loadings.join(index, "idx").drop("idx"), variance
 

@@ -13,11 +13,12 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heddle.functions.ordering import exact_quantiles, hash_key, hash_normal
+from heddle.functions.ordering import exact_quantiles, hash_key, hash_normal, running_index
 from heddle.functions.runtime import cut, drop_missing, join_keys, quoted
 from heddle.operators import neighbors as nb
 from heddle.operators.graph import cluster, connected_components, connectivities
@@ -138,12 +139,14 @@ def label_distance_sums(emb: DataFrame, label: str, within: str | None = None, o
     return merged.join(sizes, ["key", "other"])
 
 
-def silhouette(emb: DataFrame, label: str, within: str | None = None) -> DataFrame:
+def silhouette(emb: DataFrame, label: str, within: str | None = None, squared: bool = False) -> DataFrame:
     """Silhouette of each distinct row: ``key, label, cell_id, w, s`` (weight ``w``).
 
-    Rows of a one-row cluster score 0; so do rows without another cluster.
+    Rows of a one-row cluster score 0; so do rows without another cluster.  Mean
+    Euclidean distances need all pairs; ``squared`` uses squared distances, which
+    follow from cluster sums in one linear pass (for tables too large for pairs).
     """
-    sums = label_distance_sums(emb, label, within)
+    sums = squared_distance_sums(emb, label, within) if squared else label_distance_sums(emb, label, within)
     own = F.col("other") == F.col("label")
     per_row = sums.groupBy("key", "cell_id", "label", "w").agg(
         F.max(F.when(own & (F.col("n_other") > 1), F.col("total") / (F.col("n_other") - 1))).alias("_a"),
@@ -154,12 +157,26 @@ def silhouette(emb: DataFrame, label: str, within: str | None = None) -> DataFra
     return per_row.select("key", "label", "cell_id", "w", s.alias("s"))
 
 
-def asw_label(emb: DataFrame, label: str) -> DataFrame:
+def squared_distance_sums(emb: DataFrame, label: str, within: str | None = None) -> DataFrame:
+    """Total squared distance of each row to each cluster, from counts, sums and square sums."""
+    key = quoted(within).cast("string") if within else F.lit("")
+    rows = drop_missing(
+        emb.select("cell_id", "v", quoted(label).cast("string").alias("label"), key.alias("key")), ["label", "key"]
+    ).withColumn("_q", F.aggregate("v", F.lit(0.0), lambda a, e: a + e * e))
+    stats = rows.groupBy("key", F.col("label").alias("other")).agg(
+        F.count(F.lit(1)).alias("n_other"), F.sum("_q").alias("_qs"), Summarizer.sum(array_to_vector("v")).alias("_sum")
+    ).withColumn("_sum", vector_to_array("_sum"))
+    dot = F.aggregate(F.zip_with("v", "_sum", lambda a, b: a * b), F.lit(0.0), lambda a, e: a + e)
+    total = F.greatest(F.col("n_other") * F.col("_q") - 2 * dot + F.col("_qs"), F.lit(0.0))
+    return rows.join(stats, "key").select("key", "cell_id", "label", F.lit(1).alias("w"), "other", total.alias("total"), "n_other")
+
+
+def asw_label(emb: DataFrame, label: str, squared: bool = False) -> DataFrame:
     mean = F.sum(F.col("s") * F.col("w")) / F.sum("w")
-    return silhouette(emb, label).agg(((mean + 1) / 2).alias("score"))
+    return silhouette(emb, label, squared=squared).agg(((mean + 1) / 2).alias("score"))
 
 
-def asw_batch(emb: DataFrame, batch: str, label: str) -> DataFrame:
+def asw_batch(emb: DataFrame, batch: str, label: str, squared: bool = False) -> DataFrame:
     """Mean over labels of the mean of 1 - |silhouette by batch|.
 
     Labels with one batch, or with as many batches as rows, are left out.
@@ -168,7 +185,7 @@ def asw_batch(emb: DataFrame, batch: str, label: str) -> DataFrame:
         F.countDistinct(quoted(batch)).alias("_nb"), F.count(F.lit(1)).alias("_n")
     )
     usable = groups.filter((F.col("_nb") > 1) & (F.col("_nb") < F.col("_n"))).select("key")
-    per_label = silhouette(emb, batch, within=label).join(usable, "key", "left_semi").groupBy("key").agg(
+    per_label = silhouette(emb, batch, within=label, squared=squared).join(usable, "key", "left_semi").groupBy("key").agg(
         (F.sum((1 - F.abs("s")) * F.col("w")) / F.sum("w")).alias("_m")
     )
     return per_label.agg(F.avg("_m").alias("score"))
@@ -503,8 +520,9 @@ def category_mappings(obs: DataFrame, column: str, n_mappings: int = 10, seed: i
         return obs.sparkSession.createDataFrame(rows, "perm_id int, category string, x double")
     perms = F.explode(F.array(*[F.lit(i) for i in range(n_mappings)])).alias("perm_id")
     keyed = distinct.select("category", perms).withColumn("_h", hash_key(seed, "perm_id", "category"))
-    w = Window.partitionBy("perm_id").orderBy("_h", "category")
-    return keyed.select("perm_id", "category", F.row_number().over(w).cast("double").alias("x"))
+    return running_index(keyed, ["perm_id"], ["_h", "category"], "x").select(
+        "perm_id", "category", F.col("x").cast("double").alias("x")
+    )
 
 
 def morans_i_categorical(edges: DataFrame, obs: DataFrame, column: str, mappings: DataFrame | None = None, n_mappings: int = 10) -> DataFrame:

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from heddle.functions.ordering import sample_exact
 from heddle.functions.runtime import cut, join_keys, quoted
 
-MAX_PIVOTS = 2048
+MAX_PIVOTS = 8192
+MAX_PIVOT_BYTES = 256 << 20
 MAX_SPLIT_KEYS = 256
 DIRECT_ROWS = 1024
 PIECE_ROWS = 4096
@@ -32,6 +33,8 @@ def nearest_in_block(queries: np.ndarray, points: np.ndarray, m: int) -> tuple[n
     are computed directly.
     """
     rows, cols, dists = [], [], []
+    middle = points.mean(axis=0)
+    queries, points = queries - middle, points - middle
     p2 = (points * points).sum(axis=1)
     step = max(1, (1 << 22) // max(1, len(points)))
     for start in range(0, len(queries), step):
@@ -57,11 +60,11 @@ def nearest_in_block(queries: np.ndarray, points: np.ndarray, m: int) -> tuple[n
 
 
 def pivot_distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    out = np.empty((len(vectors), len(pivots)))
-    for j in range(len(pivots)):
-        gap = vectors - pivots[j]
-        out[:, j] = np.sqrt((gap * gap).sum(axis=1))
-    return out
+    """Distances to the pivots by one matrix product, accurate relative to their spread."""
+    middle = pivots.mean(axis=0)
+    a, b = vectors - middle, pivots - middle
+    squared = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2.0 * (a @ b.T)
+    return np.sqrt(np.maximum(squared, 0.0))
 
 
 class Regions:
@@ -103,10 +106,11 @@ class Regions:
         between = pivot_distances(region["v"], region["v"])[home]
         with np.errstate(divide="ignore", invalid="ignore"):
             side = (dist**2 - (dist[np.arange(len(dist)), home] ** 2)[:, None]) / (2.0 * between)
-        side = np.where(between > 0, side, 0.0)
+        side = np.where(between > 1e-6 * max(region["radius"].max(), dist.max()), side, 0.0)
         lower = np.maximum(lower, side)
-        slack = bound * (1 + 1e-9) + 1e-9
-        return (lower <= slack[:, None]) & (region["n"][None, :] > 0)
+        # The bounds are rounded; the margin is far above their error.
+        reach = bound + 1e-6 * (np.where(np.isfinite(bound), bound, 0.0) + dist.max(axis=1) + region["radius"].max())
+        return (lower <= reach[:, None]) & (region["n"][None, :] > 0)
 
 
 def _visits(regions: Regions, m: int, second: bool):
@@ -176,8 +180,14 @@ def _best(found: DataFrame, m: int) -> DataFrame:
 
 def _distinct_vectors(rows: DataFrame, m: int) -> DataFrame:
     """One row per distinct vector (and key) with its ``m`` smallest ids."""
+    few = rows
+    if m > 1000:
+        # Beyond the size Spark limits before the shuffle, thin out hashed parts first.
+        part = F.pmod(F.xxhash64("cell_id"), F.lit(256))
+        w = Window.partitionBy("_key", "v", part).orderBy("cell_id")
+        few = few.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= m).drop("_rn")
     w = Window.partitionBy("_key", "v").orderBy("cell_id")
-    few = rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= m)
+    few = few.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= m)
     return few.groupBy("_key", "v").agg(
         F.min("cell_id").alias("rep"), F.sort_array(F.collect_list("cell_id")).alias("ids")
     )
@@ -265,7 +275,8 @@ def knn(
     direct = wanted.filter(~split).withColumn("cell", F.concat(F.lit("k"), "_key"))
     found = _search(direct, whole, m, id_type)
     if large:
-        most = max(1, MAX_PIVOTS // len(large))
+        width = max(1, reps.agg(F.max(F.size("v"))).first()[0] or 1)
+        most = max(1, min(MAX_PIVOTS, MAX_PIVOT_BYTES // (8 * width)) // len(large))
         found = found.unionByName(
             _search_regions(wanted.filter(split), reps.filter(split), per_key, most, m, id_type)
         )

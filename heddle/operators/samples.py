@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from heddle.functions.ordering import sample_exact
 from heddle.functions.runtime import cut, drop_missing, join_keys, quoted
-from heddle.operators.aggregate import pseudobulk
+from heddle.operators.aggregate import group_sizes, pseudobulk
 from heddle.operators.graph import connectivities
-from heddle.operators.matrix import feature_index, to_vectors
+from heddle.operators.matrix import densify, feature_index
 from heddle.operators.neighbors import block_distances, pairwise_blocks
 from heddle.operators.window import first_n
 
@@ -55,12 +55,31 @@ def pseudobulk_distances(emb: DataFrame, sample: str, min_cells: int = 2) -> Dat
     return distance_matrix(means.withColumnRenamed(sample, "cell_id"))
 
 
-def pseudobulk_feature_distances(obs: DataFrame, x: DataFrame, var: DataFrame, sample: str, how: str = "mean") -> DataFrame:
-    """Distances between sample pseudobulks over the given features."""
-    bulk = cut(pseudobulk(obs, x, [sample], how).withColumnRenamed(sample, "cell_id"), "bulk")
+def pseudobulk_feature_distances(
+    obs: DataFrame, x: DataFrame, var: DataFrame, sample: str, how: str = "mean", chunk: int = 2048
+) -> DataFrame:
+    """Distances between sample pseudobulks over any number of features.
+
+    Features are cut into chunks; a chunk adds its part of the squared distance, so no
+    row ever holds all features.
+    """
+    bulk = pseudobulk(obs, x, [sample], how).withColumnRenamed(sample, "cell_id")
     index = cut(feature_index(var), "features")
-    samples = obs.groupBy(quoted(sample).alias("cell_id")).agg(F.count(F.lit(1)).alias("_n")).filter("_n >= 2")
-    return distance_matrix(to_vectors(bulk, samples, index, index.count()))
+    n_chunks = max(1, -(-index.count() // chunk))
+    placed = bulk.join(index, "gene_id").groupBy("cell_id", F.floor(F.col("idx") / chunk).cast("int").alias("chunk")).agg(
+        F.collect_list(F.col("idx") % chunk).alias("_i"), F.collect_list("value").alias("_v")
+    )
+    samples = group_sizes(obs, [sample]).select(quoted(sample).alias("cell_id")).withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1)))
+    )
+    rows = cut(densify(samples.join(placed, ["cell_id", "chunk"], "left"), ["cell_id", "chunk"], chunk), "bulk")
+    id_type = rows.schema["cell_id"].dataType.simpleString()
+
+    def block(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        return _pairs(p, q, block_distances(np.stack(p["v"]), np.stack(q["v"])) ** 2 if len(p) and len(q) else None)
+
+    parts = pairwise_blocks(rows, rows, block, f"src {id_type}, dst {id_type}, dist double", key="chunk", block_rows=512)
+    return parts.groupBy("src", "dst").agg(F.sqrt(F.sum("dist")).alias("dist"))
 
 
 def _type_index(df: DataFrame, cell_type: str) -> list[str]:
@@ -86,6 +105,7 @@ def composition_distances(df: DataFrame, sample: str, cell_type: str) -> DataFra
 
 def cell_type_distances(emb: DataFrame, sample: str, cell_type: str) -> DataFrame:
     """Mean over shared types of the distance between the type means of two samples."""
+    _type_index(emb, cell_type)  # bounds the number of type means a sample can have
     means = mean_vectors(drop_missing(emb, [sample, cell_type]), sample, cell_type)
     rows = cut(
         means.groupBy(quoted(sample).alias("cell_id")).agg(

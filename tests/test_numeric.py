@@ -322,6 +322,24 @@ def test_silhouette_with_copies_matches_brute_force(spark, blobs):
     assert abs(got - (brute_silhouette(v, label).mean() + 1) / 2) < 1e-9
 
 
+def test_squared_silhouette_matches_brute_force(spark, blobs):
+    v, label, _ = blobs
+    d = ((v[:, None] - v[None]) ** 2).sum(-1)
+    lab, s = np.array(label), []
+    for i in range(len(v)):
+        a = d[i, lab == lab[i]].sum() / ((lab == lab[i]).sum() - 1)
+        b = min(d[i, lab == g].mean() for g in set(label) if g != lab[i])
+        s.append((b - a) / max(a, b))
+    got = mt.asw_label(embed(spark, v, label=label), "label", squared=True).first()[0]
+    assert abs(got - (np.mean(s) + 1) / 2) < 1e-9
+
+
+def test_knn_far_from_the_origin(spark):
+    v = np.random.default_rng(12).normal(size=(150, 3)) + 1e4
+    emb = embed(spark, v)
+    assert as_lists(nb.knn(emb, 4, direct_rows=0)) == as_lists(nb.knn(emb, 4))
+
+
 def test_silhouette_over_many_blocks(spark, blobs, monkeypatch):
     v, label, batch = blobs
     emb = embed(spark, v, label=label, batch=batch)
