@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from heddle.catalog import query
 from heddle.catalog.tables import r6
+from heddle.functions.runtime import cut
 from heddle.operators import matrix as mx, window as win
 from heddle.plans import view
 from heddle.plans.view import OBS, VAR, X
@@ -105,7 +106,7 @@ def u5(spark, sf):
 
 
 def top_features(spark, sf, n=50):
-    x = normalized(spark, sf)
+    x = cut(normalized(spark, sf), "norm")
     hv = mx.highly_variable(x, view.obs(spark, sf), view.var(spark, sf), n_top=n)
     return x, hv.filter("highly_variable").select("gene_id")
 
@@ -212,8 +213,6 @@ def m12(spark, sf):
 
 @query("m13_dense_and_back", f"WITH {X}, {VAR} SELECT cell_id, gene_id, value FROM x JOIN var USING (gene_id) WHERE brand = 'Brand#9'")
 def m13(spark, sf):
-    from heddle.functions.runtime import cut
-
     feats = view.var(spark, sf).filter("brand = 'Brand#9'")
     index = cut(mx.feature_index(feats))
     return mx.from_vectors(mx.to_vectors(view.x(spark, sf), view.obs(spark, sf), index, index.count()), index)
