@@ -119,7 +119,7 @@ def m6(spark, sf):
 
 
 @query("m6_pca_variance", f"""WITH d AS (SELECT unnest(range(64)) AS dim, unnest(embedding::DOUBLE[]) AS val FROM embeddings),
-    v AS (SELECT dim, var_samp(val) AS v FROM d GROUP BY 1) SELECT round(sum(v), 6) AS total_variance, round(1.0, 6) AS ratio FROM v""")
+    v AS (SELECT dim, var_samp(val) AS v FROM d GROUP BY 1) SELECT round(sum(v), 6) AS total_variance, CAST(1 AS DOUBLE) AS ratio FROM v""")
 def m6b(spark, sf):
     _, _, variance = mx.pca(view.emb(spark, sf), 64)
     return variance.agg(F.round(F.sum("variance"), 6).alias("total_variance"), F.round(F.sum("variance_ratio"), 6).alias("ratio"))

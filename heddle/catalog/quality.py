@@ -196,7 +196,7 @@ def d5(spark, sf):
     return r6(out.select("cluster", "gene_id", "score"), "score", digits=4)
 
 
-@query("d6_top_markers", f"""WITH {OBS}, t AS (SELECT sample AS cluster, cell_id AS gene_id, price AS score, donor % 5 - 1.5 AS logfoldchange FROM obs)
+@query("d6_top_markers", f"""WITH {OBS}, t AS (SELECT sample AS cluster, cell_id AS gene_id, price AS score, CAST(donor % 5 - 1.5 AS DOUBLE) AS logfoldchange FROM obs)
   SELECT * FROM t WHERE logfoldchange >= 0.5 QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY score DESC, gene_id) <= 10""")
 def d6(spark, sf):
     t = view.obs(spark, sf).select(F.col("sample").alias("cluster"), F.col("cell_id").alias("gene_id"), F.col("price").alias("score"),

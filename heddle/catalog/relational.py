@@ -500,7 +500,7 @@ def f_text(spark, sf):
 
 @query("f_number_functions", """SELECT o_orderkey AS id, round(ln(1 + o_totalprice), 6) AS l, round(ln(1 + o_totalprice) / ln(10), 6) AS l10,
     round(-log10(o_totalprice / 1e6), 6) AS nl, round(abs(o_totalprice - 1000), 2) AS a,
-    CASE WHEN o_totalprice / 1e5 > 3 THEN '**' WHEN o_totalprice / 1e5 > 1.5 THEN '*' ELSE '' END AS stars,
+    'z=' || printf('%.2f', o_totalprice / 1e5) AS text, CASE WHEN o_totalprice / 1e5 > 3 THEN '**' WHEN o_totalprice / 1e5 > 1.5 THEN '*' ELSE '' END AS stars,
     CASE WHEN o_custkey % 2 = 0 AND o_custkey % 3 = 0 THEN 'passed' WHEN o_custkey % 2 = 0 OR o_custkey % 3 = 0
       THEN 'ambiguous' ELSE 'failed' END AS status FROM orders WHERE o_totalprice > 0""")
 def f_number(spark, sf):
@@ -509,6 +509,7 @@ def f_number(spark, sf):
     return o.select(F.col("o_orderkey").alias("id"), F.round(F.log1p(p), 6).alias("l"),
                     F.round(scalar.log1p_base(p, 10), 6).alias("l10"), F.round(scalar.neg_log10(p / 1e6), 6).alias("nl"),
                     F.round(F.abs(p - 1000), 2).alias("a"), scalar.significance_stars(p / 1e5).alias("stars"),
+                    scalar.rounded_label(p / 1e5, "z=").alias("text"),
                     scalar.two_flag_status(F.col("o_custkey") % 2 == 0, F.col("o_custkey") % 3 == 0).alias("status"))
 
 
@@ -522,7 +523,7 @@ def f_human(spark, sf):
                     scalar.human_format((F.col("p_partkey") % 97) * 1021 + 7).alias("text"))
 
 
-@query("f_maps", """SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS k, 1.0 AS a,
+@query("f_maps", """SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS k, CAST(1 AS DOUBLE) AS a,
     CAST(json_extract(props, '$.k') AS DOUBLE) AS updated FROM events""")
 def f_maps(spark, sf):
     e = view.table(spark, sf, "events").withColumn("props", F.replace("props", F.lit('"'), F.lit("'")))
