@@ -344,8 +344,11 @@ def l2(spark, sf):
     return sm.within_sample(view.obs(spark, sf).select("cell_id", "sample"), 900, "sample", 50)
 
 
-@query("l2_within_sample_default", f"""WITH {OBS}, p AS (SELECT CAST(floor(5000 / count(DISTINCT sample)) AS BIGINT) AS per FROM obs)
-  SELECT cell_id, sample FROM obs, p QUALIFY row_number() OVER (PARTITION BY sample ORDER BY md5('42|' || cell_id), cell_id) <= per""")
+@query("l2_within_sample_default", f"""WITH {OBS}, p AS (SELECT CAST(floor(5000 / count(DISTINCT sample)) AS BIGINT) AS per FROM obs),
+    s AS (SELECT sample, md5('42|' || sample) AS h, count(*) AS n FROM obs GROUP BY 1),
+    r AS (SELECT sample, per, row_number() OVER (ORDER BY h) AS pos FROM s, p WHERE n >= per)
+  SELECT cell_id, sample FROM obs JOIN (SELECT sample, per FROM r WHERE (pos - 1) * per < 5000) USING (sample)
+  QUALIFY row_number() OVER (PARTITION BY sample ORDER BY md5('42|' || cell_id), cell_id) <= per""")
 def l2b(spark, sf):
     return sm.within_sample(view.obs(spark, sf).select("cell_id", "sample"), 5000, "sample")
 
