@@ -166,9 +166,15 @@ def squared_distance_sums(emb: DataFrame, label: str, within: str | None = None)
     stats = rows.groupBy("key", F.col("label").alias("other")).agg(
         F.count(F.lit(1)).alias("n_other"), F.sum("_q").alias("_qs"), Summarizer.sum(array_to_vector("v")).alias("_sum")
     ).withColumn("_sum", vector_to_array("_sum"))
+    if within is None:
+        # One key: the few cluster rows are attached as a list instead of a join.
+        listed = stats.agg(F.collect_list(F.struct("other", "n_other", "_qs", "_sum"))).scalar()
+        joined = rows.withColumn("_c", F.explode(listed)).select(*rows.columns, "_c.*")
+    else:
+        joined = rows.join(stats, "key")
     dot = F.aggregate(F.zip_with("v", "_sum", lambda a, b: a * b), F.lit(0.0), lambda a, e: a + e)
     total = F.greatest(F.col("n_other") * F.col("_q") - 2 * dot + F.col("_qs"), F.lit(0.0))
-    return rows.join(stats, "key").select("key", "cell_id", "label", F.lit(1).alias("w"), "other", total.alias("total"), "n_other")
+    return joined.select("key", "cell_id", "label", F.lit(1).alias("w"), "other", total.alias("total"), "n_other")
 
 
 def asw_label(emb: DataFrame, label: str, squared: bool = False) -> DataFrame:

@@ -323,15 +323,18 @@ def pairwise_blocks(
     key_of = quoted(key).cast("string") if key else F.lit("")
     a, b = left.withColumn("_key", key_of), right.withColumn("_key", key_of)
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.lit(1)).cast("int")
-    sizes = (
-        a.groupBy("_key").agg(blocks.alias("_na")).join(b.groupBy("_key").agg(blocks.alias("_nb")), "_key")
-    )
+    if key is None:
+        counts = {"_na": a.agg(blocks).scalar(), "_nb": b.agg(blocks).scalar()}
+        sized_a, sized_b = a.withColumns(counts), b.withColumns(counts)
+    else:
+        sizes = a.groupBy("_key").agg(blocks.alias("_na")).join(b.groupBy("_key").agg(blocks.alias("_nb")), "_key")
+        sized_a, sized_b = join_keys(a, sizes, ["_key"]), join_keys(b, sizes, ["_key"])
     names_a = [F.col(c).alias(c) for c in left.columns]
-    deal_a = join_keys(a, sizes, ["_key"]).select(
+    deal_a = sized_a.select(
         *names_a, F.col("_key").alias("_ka"), F.pmod(F.xxhash64("cell_id"), F.col("_na")).cast("int").alias("_ia"),
         F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_ja"),
     )
-    deal_b = join_keys(b, sizes, ["_key"]).select(
+    deal_b = sized_b.select(
         *[F.col(c).alias(f"r_{c}") for c in right.columns], F.col("_key").alias("_kb"),
         F.pmod(F.xxhash64("cell_id"), F.col("_nb")).cast("int").alias("_jb"),
         F.explode(F.sequence(F.lit(0), F.col("_na") - 1)).alias("_ib"),
