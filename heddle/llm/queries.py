@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heddle.llm import mixing, quality_rules, secrets_scan
+from heddle.llm import mixing, ngram_join, quality_rules, secrets_scan
 from heddle.llm.common import Query, documents
 
 QUERIES: dict[str, Query] = {}
@@ -49,6 +49,24 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
 
+@query("op3_ngram_join", r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_distinct(list_transform(generate_series(1, len(ws) - 4), lambda i: array_to_string(ws[i:i+4], ' '))) END) AS t FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS z FROM w UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.z),
+m AS (SELECT doc_id, min(z) AS component_id FROM r GROUP BY doc_id),
+k AS (SELECT a AS doc_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT m.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM m LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+""")
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(documents(spark, sf_dir))
+
+
 @query("op6_secret_scans")
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets_scan.scan(documents(spark, sf_dir))
