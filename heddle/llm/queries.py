@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heddle.llm import mixing, ngram_join, quality_rules, secrets_scan
+from heddle.llm import mixing, ngram_join, packing, quality_rules, secrets_scan, token_files
 from heddle.llm.common import Query, documents
 
 QUERIES: dict[str, Query] = {}
@@ -51,7 +52,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_ngram_join", r"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-        'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda x: x <> '') AS ws FROM documents),
+        'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda x: x <> '') AS ws FROM documents),
 g AS (SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
         ELSE list_distinct(list_transform(generate_series(1, len(ws) - 4), lambda i: array_to_string(ws[i:i+4], ' '))) END) AS t FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
@@ -67,6 +69,12 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(documents(spark, sf_dir))
 
 
+@query("op5_token_files")
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_files.write(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.digests(token_files.read(spark, folder))
+
+
 @query("op6_secret_scans")
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets_scan.scan(documents(spark, sf_dir))
@@ -79,6 +87,11 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
 @query("op10_mixing", """
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
