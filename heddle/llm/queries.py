@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heddle.llm import mixing, ngram_join, packing, quality_rules, secrets_scan, token_files
+from heddle.llm import lm_scoring, mixing, ngram_join, packing, quality_rules, secrets_scan, token_files
 from heddle.llm.common import Query, documents
 
 QUERIES: dict[str, Query] = {}
@@ -69,6 +69,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(documents(spark, sf_dir))
 
 
+@query("op4_lm_scoring")
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 7 != 2)
+
+
 @query("op5_token_files")
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.write(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
