@@ -1,20 +1,21 @@
 """Scores of texts under prediction by partial matching, and a unigram baseline.
 
 Spark counts byte sequences of the training texts (``order`` context bytes and the byte
-behind them).  The counts are a trie over contexts; a context's escape probability is
-that of method C (distinct followers / (all + distinct)), and a byte that escapes is
-predicted by the shorter context without the bytes that the longer one has already
-ruled out.  Since exclusion depends on the context alone, each worker flattens the trie
-into one row of 256 costs per context; scoring is then two look-ups per byte, in numpy.
-``adaptive_bits`` is the other mode: a text's code length under a model that starts empty
-and learns from the text itself.
+behind them).  The contexts form a trie from the nearest byte backwards; a context's
+escape probability is that of method C (distinct followers / (all + distinct)), and a
+byte that escapes is predicted by the shorter context without the bytes that the longer
+one has already ruled out.  Since exclusion depends on the context alone, each worker
+flattens the trie into two arrays: the children of every node by byte, and the costs of
+all 256 bytes behind it.  Scoring walks down from the root for all places of many texts
+at once, in numpy.  ``adaptive_bits`` is the other mode: a text's code length under a
+model that starts empty and learns from the text itself.
 
 Texts are lower-cased (A-Z), padded in front, and closed by an end mark, both byte 255,
-which no UTF-8 text has.  The contexts of full order are the ``CONTEXTS`` most frequent
-ones (a row costs 1 KB in each worker); bytes behind other contexts are scored by the
-shorter ones, so memory is bounded and no byte is left out.  All counts are over all
-training texts.  Words are counted by a 64-bit hash; ten million distinct words share
-one with a chance of 3 in a million.
+which no UTF-8 text has.  The trie keeps the ``NODES`` most frequent contexts (2 KB each
+in a worker; a context is never more frequent than its shorter forms, so these are kept
+too).  Places behind other contexts use the longest kept one, so memory is bounded and
+no byte is left out.  All counts are over all training texts.  Words are counted by a
+64-bit hash; ten million distinct words share one with a chance of 3 in a million.
 
 Defined cases: a NULL text is empty: one token, the end, and the end mark's cost; with
 no training texts every byte costs the same; repeated rows are scored one by one; an
@@ -26,6 +27,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +39,8 @@ from pyspark.sql import types as T
 from heddle.functions.runtime import cut, quoted
 from heddle.llm.tokens import sub_batches
 
-ORDER = 3
-CONTEXTS = 32_768
+ORDER = 5
+NODES = 49_152
 #: Distinct words up to which their counts are broadcast (16 bytes each); beyond, they are joined.
 BROADCAST_WORDS = 6_000_000
 END = 255
@@ -61,9 +63,9 @@ def _sequences(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     pad = bytes([END]) * order
     data = np.frombuffer(b"".join(pad + t + bytes([END]) for t in texts), np.uint8)
     lengths = np.array([len(t) + 1 for t in texts], np.int64)
-    key = np.zeros(max(len(data) - order, 0), np.uint32)
+    key = np.zeros(max(len(data) - order, 0), np.uint64)
     for k in range(order + 1):
-        key = (key << np.uint32(8)) | data[k : k + len(key)]
+        key = (key << np.uint64(8)) | data[k : k + len(key)]
     skip = np.zeros(len(key), bool)  # places whose byte is the next text's padding
     ends = np.cumsum(lengths + order)[:-1]
     for k in range(order):
@@ -95,7 +97,7 @@ def count(train: DataFrame, order: int = ORDER) -> DataFrame:
             keys, n = (np.concatenate(x) for x in zip(*held))
             order_ = np.argsort(keys, kind="stable")
             keys, n = keys[order_], n[order_]
-            first = np.flatnonzero(np.diff(keys, prepend=keys[:1] ^ np.uint32(1)))
+            first = np.flatnonzero(np.diff(keys, prepend=keys[:1] ^ np.uint64(1)))
             return keys[first], np.add.reduceat(n, first)
 
         for batch in batches:
@@ -122,26 +124,22 @@ def count(train: DataFrame, order: int = ORDER) -> DataFrame:
     return counts.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def trie(counts: DataFrame, order: int = ORDER, contexts: int = CONTEXTS) -> list[tuple[np.ndarray, np.ndarray]]:
+def trie(counts: DataFrame, order: int = ORDER, nodes: int = NODES) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per context length from 0: sorted keys (context * 256 + byte) and their counts.
 
-    At most ``contexts`` x 256 counts of full order and 2^24 of the one below reach the driver.
+    Only the followers of at most ``nodes`` contexts reach the driver.
     """
-    pairs = counts.filter("kind = 0").select("key", "n").withColumn("context", F.shiftright("key", 8))
-    sizes = pairs.groupBy("context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("entries"))
-    kept = sizes.orderBy(F.desc("total"), "context").limit(contexts).select("context")
-    full = pairs.join(kept, "context", "left_semi").select("key", "n")
-    below = pairs.groupBy(F.expr(f"key & {(1 << 8 * order) - 1}").alias("key")).agg(F.sum("n").alias("n"))
-    levels = []
-    for frame in (below, full):
-        rows = frame.toPandas().sort_values("key")
-        levels.append((rows["key"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)))
-    for length in range(order - 2, -1, -1):
-        keys, n = levels[0]
-        short = keys & ((1 << 8 * (length + 1)) - 1)
-        short, at = np.unique(short, return_inverse=True)
-        levels.insert(0, (short, np.bincount(at, weights=n, minlength=len(short)).astype(np.int64)))
-    return levels
+    level = counts.filter("kind = 0").select("key", "n")
+    levels = [level.withColumn("length", F.lit(order))]
+    for length in range(order - 1, -1, -1):
+        level = cut(level.groupBy(F.expr(f"key & {(1 << 8 * (length + 1)) - 1}L").alias("key")).agg(F.sum("n").alias("n")), "level")
+        levels.append(level.withColumn("length", F.lit(length)))
+    pairs = reduce(DataFrame.unionByName, levels).withColumn("context", F.shiftright("key", 8))
+    sizes = pairs.groupBy("length", "context").agg(F.sum("n").alias("total"))
+    kept = sizes.orderBy(F.desc("total"), "length", "context").limit(nodes).select("length", "context")
+    rows = pairs.join(kept, ["length", "context"], "left_semi").select("length", "key", "n").toPandas().sort_values("key")
+    of = [rows[rows["length"] == k] for k in range(order + 1)]
+    return [(r["key"].to_numpy(np.int64), r["n"].to_numpy(np.int64)) for r in of]
 
 
 def costs(levels: list[tuple[np.ndarray, np.ndarray]], contexts: np.ndarray, length: int) -> np.ndarray:
@@ -170,19 +168,21 @@ def costs(levels: list[tuple[np.ndarray, np.ndarray]], contexts: np.ndarray, len
 
 
 def flatten(levels: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Row of every context of full order, and the rows' costs, one after another."""
-    order = len(levels) - 1
-    table = np.zeros(1, np.int32)
-    blocks = [costs(levels, np.zeros(1, np.int64), 0)]
-    made = 1
-    for k in range(1, order + 1):
-        seen = np.unique(levels[k][0] >> 8)
-        table = np.tile(table, 256)  # a context that was not seen has the row of the shorter one
-        for a in range(0, len(seen), 4096):
-            blocks.append(costs(levels, seen[a : a + 4096], k))
-        table[seen] = np.arange(made, made + len(seen), dtype=np.int32)
-        made += len(seen)
-    return table, np.concatenate(blocks).ravel()
+    """Children of every node by the next older byte (0: none), and costs by byte, both flat."""
+    blocks, seen, first, made = [costs(levels, np.zeros(1, np.int64), 0)], [np.zeros(1, np.int64)], [0], 1
+    links: list[tuple[np.ndarray, np.ndarray]] = []
+    for k in range(1, len(levels)):
+        own = np.unique(levels[k][0] >> 8)
+        parent = first[-1] + np.searchsorted(seen[-1], own & ((1 << 8 * (k - 1)) - 1))
+        links.append((parent * 256 + (own >> 8 * (k - 1)), np.arange(made, made + len(own))))
+        blocks += [costs(levels, own[a : a + 4096], k) for a in range(0, len(own), 4096)]
+        seen.append(own)
+        first.append(made)
+        made += len(own)
+    children = np.zeros(made * 256, np.int32)
+    for at, node in links:
+        children[at] = node
+    return children, np.concatenate(blocks).ravel()
 
 
 _FLAT: dict[str, tuple] = {}
@@ -196,12 +196,23 @@ def _flat(name: str, levels: list) -> tuple[np.ndarray, np.ndarray]:
     return _FLAT[name]
 
 
-def text_scores(texts: list[bytes], table: np.ndarray, rows: np.ndarray, order: int) -> np.ndarray:
+def text_scores(texts: list[bytes], children: np.ndarray, rows: np.ndarray, order: int) -> np.ndarray:
     """log10 probability of each text."""
-    key, lengths = _sequences(texts, order)
-    cost = rows[table[key >> np.uint32(8)].astype(np.int64) * 256 + (key & np.uint32(255))].astype(np.float64)
-    ends = np.cumsum(lengths)
-    return np.add.reduceat(cost, ends - lengths)
+    pad = bytes([END]) * order
+    data = np.frombuffer(b"".join(pad + t + bytes([END]) for t in texts), np.uint8).astype(np.int32)
+    lengths = np.array([len(t) + 1 for t in texts], np.int64)
+    ends = np.cumsum(lengths + order)
+    node = np.zeros(len(data) - order, np.int32)
+    walking = np.arange(order, len(data), dtype=np.int32)  # places that may go deeper
+    at = node
+    for k in range(1, order + 1):
+        deeper = children[at * 256 + data[walking - k]]
+        going = deeper > 0
+        walking, at = walking[going], deeper[going]
+        node[walking - order] = at
+    cost = rows[node * 256 + data[order:]].astype(np.float64)
+    run = np.concatenate([[0.0], np.cumsum(cost)])  # a text starts behind its padding
+    return run[ends - order] - run[ends - lengths - order]
 
 
 def adaptive_bits(text: str | None, order: int = ORDER) -> float:
@@ -231,7 +242,7 @@ def adaptive_bits(text: str | None, order: int = ORDER) -> float:
 
 
 def score(
-    docs: DataFrame, training: Column, order: int = ORDER, contexts: int = CONTEXTS, broadcast_words: int = BROADCAST_WORDS,
+    docs: DataFrame, training: Column, order: int = ORDER, nodes: int = NODES, broadcast_words: int = BROADCAST_WORDS,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Scores of all rows of ``docs``, learning from those where ``training`` holds.
@@ -239,12 +250,12 @@ def score(
     ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``
     and ``score`` (log10 probabilities), ``n_bytes`` (with the end mark).
     """
-    if not 1 <= order <= 3:
-        raise ValueError("contexts of one to three bytes")
+    if not 1 <= order <= 6:
+        raise ValueError("contexts of one to six bytes")
     known = F.coalesce(training, F.lit(False))
     docs = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).cast("string").alias("text"), (~known).alias("held_out"))
     counts = cut(count(docs.filter("NOT held_out"), order), "counts")
-    levels = trie(counts, order, contexts)
+    levels = trie(counts, order, nodes)
     words = counts.filter("kind = 1").select("key", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     floor = math.log10(total + distinct + 1)
@@ -263,7 +274,7 @@ def score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels_, lists_ = shared.value
-        table, rows = _flat(name, levels_)
+        children, rows = _flat(name, levels_)
         logs: dict[bytes, float] = {}
 
         def look_up(new: list[bytes]) -> None:
@@ -277,10 +288,10 @@ def score(
 
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in sub_batches(texts):
+            for a, b in sub_batches(texts, 2_000_000):
                 low = [lowered(t) for t in texts[a:b]]
                 split = [[*t.split(), b""] for t in low]
-                scores = text_scores(low, table, rows, order)
+                scores = text_scores(low, children, rows, order)
                 n_tokens = np.array([len(s) for s in split], np.int64)
                 out = [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(n_tokens)]
                 if lists_ is not None:
