@@ -31,3 +31,22 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 def total(values: Column) -> Column:
     """Sum of an array of numbers as a long."""
     return F.aggregate(values, F.lit(0).cast("long"), lambda acc, v: acc + v.cast("long"))
+
+
+def id_bounds(docs: DataFrame, id_col: str, most: int = 20_000) -> list:
+    """Upper ends of ranges of ids that hold about as many rows as an input partition; each is an id."""
+    ranges = min(max(2, docs.rdd.getNumPartitions()), most)
+    shares = [i / ranges for i in range(1, ranges)]
+    row = docs.agg(F.percentile_approx(id_col, shares, 10 * ranges), F.max(id_col)).first()
+    return sorted({*(row[0] or []), row[1]} - {None})
+
+
+def bucket_of(value: Column, bounds: list, width: int = 128) -> Column:
+    """Place of the first bound that is not below ``value``, found in two steps; NULL is at 0."""
+    if not bounds:
+        return F.lit(0)
+    runs = [bounds[i : i + width] for i in range(0, len(bounds), width)]
+    array = lambda values: F.array(*[F.lit(v) for v in values])
+    run = F.least(F.size(F.filter(array([r[-1] for r in runs]), lambda b: b < value)), F.lit(len(runs) - 1))
+    within = F.size(F.filter(F.get(F.array(*[array(r) for r in runs]), run), lambda b: b < value))
+    return F.when(value.isNull(), F.lit(0)).otherwise(run * width + within).cast("int")

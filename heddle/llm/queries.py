@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heddle.llm import lm_scoring, mixing, ngram_join, packing, quality_rules, secrets_scan, token_files
+from heddle.llm import (
+    fingerprints, lm_scoring, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, secrets_scan, token_files,
+)
 from heddle.llm.common import Query, documents
 
 QUERIES: dict[str, Query] = {}
@@ -50,6 +52,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
 
+@query("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    return quality_classifier.classify(documents(spark, sf_dir), labels, held_out)
+
+
 @query("op3_ngram_join", r"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
         'abcdefghijklmnopqrstuvwxyz'), '[ 	-
@@ -92,11 +101,31 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_fingerprints")
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edits(documents(spark, sf_dir))
+
+
 @query("op8_packing")
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+@query("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(documents(spark, sf_dir))
+    names = F.array(*[F.lit(k) for k in pii.KINDS])
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("long")
+    return found.select(
+        F.col("row").alias("doc_id"), *[count(k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
+        F.sha2(listed(F.sort_array("base")), 256).alias("base_sha256"),
+        listed(F.sort_array(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 @query("op10_mixing", """
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heddle.functions.runtime import quoted, shared_dir
+from heddle.llm.common import id_bounds
 from heddle.llm.tokens import encoder, sub_batches
 
 #: Ids per word and bits per id by selector; 0 is the escape, 1 a run of zeros.
@@ -32,7 +33,6 @@ COUNTS = (1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 BITS = (64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 #: A block is closed when it holds this many ids.
 BLOCK = 1 << 16
-SHARDS = 20_000
 
 
 def pack(ids: np.ndarray) -> np.ndarray:
@@ -116,10 +116,9 @@ def write(docs: DataFrame, path: str, end_id: int, folder: str | None = None, id
     docs = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).cast("string").alias("text"))
     spark = docs.sparkSession
     folder = folder or f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
-    shards = min(max(2, docs.rdd.getNumPartitions()), SHARDS)
-    cuts = [i / shards for i in range(1, shards)]
-    bounds = docs.agg(F.percentile_approx("doc_id", cuts, 10 * shards)).first()[0] or []
-    sorted_rows = _encoded(docs, path, end_id, sorted(set(bounds))).repartitionById(shards, F.col("shard"))
+    bounds = id_bounds(docs, "doc_id")
+    shards = max(1, len(bounds))
+    sorted_rows = _encoded(docs, path, end_id, bounds).repartitionById(shards, F.col("shard"))
     sorted_rows = sorted_rows.sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "ids")
     id_type = docs.schema["doc_id"].dataType
     schema = T.StructType([
@@ -179,7 +178,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 ], schema.names)
 
     docs = blocks.mapInArrow(run, schema)
-    totals = blocks.groupBy("shard").agg(F.sum("n_ids").alias("_n"))  # one row per shard, at most SHARDS
+    totals = blocks.groupBy("shard").agg(F.sum("n_ids").alias("_n"))  # one row per shard
     upto = F.sum("_n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select("shard", F.coalesce(upto, F.lit(0)).alias("_before"))
     return docs.join(offsets, "shard").select("doc_id", (F.col("_before") + F.col("_local")).alias("start"), "n_tokens", "ids")
