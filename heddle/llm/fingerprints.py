@@ -36,7 +36,7 @@ POPULAR = 16
 BITS = 2048
 FEATURES = 160
 HASHES = 5
-MARGIN = 0.3
+MARGIN = 0.1
 LEVELS = 1000
 
 _PLOGP = np.array([0] + [round(c * np.log2(c) * (1 << 20)) for c in range(1, WINDOW + 1)], np.int64)
