@@ -49,7 +49,7 @@ BUCKET = 1_000_000
 #: Up to this length, a list's pairs are listed; a longer one is a star.
 SHORT = 16
 #: The shingles that go last by frequency; it bounds a broadcast (16 bytes each).
-FREQUENT = 1_000_000
+FREQUENT = 500_000
 #: From this many sets on, a shingle's list is dealt over several buckets.
 SALTED = 50_000
 #: Answers are derived from a set of at least this similarity.
@@ -135,9 +135,20 @@ def read_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def frequent(sets: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, sorted, and their counts; at most ``limit`` of them."""
+    """The most frequent shingles, sorted, and their counts; at most ``limit`` of them.
+
+    A histogram of the counts, four classes per doubling, tells how far down one can go.
+    """
     counts = sets.filter("token IS NOT NULL").groupBy("token").agg(F.sum("freq").alias("freq"))
-    rows = counts.orderBy(F.desc("freq"), "token").limit(limit).toPandas()
+    graded = cut(counts.withColumn("grade", F.floor(4 * F.log2("freq")).cast("int")), "shingles")
+    spread = {r["grade"]: r["count"] for r in graded.groupBy("grade").count().collect()}
+    least, held = 1 << 30, 0
+    for grade in sorted(spread, reverse=True):
+        held += spread[grade]
+        if held > limit:
+            break
+        least = grade
+    rows = graded.filter(F.col("grade") >= least).select("token", "freq").toPandas()
     tokens = rows["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     return tokens[order], rows["freq"].to_numpy(np.int64)[order]

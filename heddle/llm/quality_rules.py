@@ -180,4 +180,6 @@ def keep(docs: DataFrame, policy: str = CURRENT, text_col: str = "text") -> Data
     """Rows of ``docs`` that the policy keeps, with all their columns; no join and no shuffle."""
     packed = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("_row"), quoted(text_col).alias("_t"))
     judged = judge(packed, policy, id_col="_row", text_col="_t")
-    return judged.filter("kept").select("_row.*")
+    # the id keeps the filter above the measurements: below them, each of its uses would measure anew
+    placed = judged.select("_row", "kept", F.monotonically_increasing_id().alias("_place"))
+    return placed.filter("kept AND _place >= 0").select("_row.*")
