@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,17 +39,25 @@ def pack(ids: np.ndarray) -> np.ndarray:
     """64-bit words of non-negative ids, packed greedily from the front."""
     ids = np.asarray(ids, np.uint64)
     n = len(ids)
-    choice = np.zeros(n, np.int64)
-    for selector in range(15, 0, -1):  # a smaller selector holds more ids and wins
-        bad = np.concatenate([[0], np.cumsum(ids >= np.uint64(1 << BITS[selector]))])
-        ends = np.minimum(np.arange(n) + COUNTS[selector], n)
-        choice[bad[ends] == bad[:n]] = selector
+    choice = np.zeros(n, np.int8)
+    widest = int(ids.max()).bit_length() if n else 0
+    small = ids.astype(np.uint32) if widest <= 32 else ids
+    enough = next((s for s in range(2, 16) if BITS[s] >= widest), 15)
+    for selector in range(enough, 0, -1):  # a smaller selector holds more ids and wins
+        fits = small < small.dtype.type(1 << BITS[selector]) if BITS[selector] < widest else np.ones(n, bool)
+        if not fits.any():
+            break
+        bad = np.empty(n + COUNTS[selector], np.int32)  # ids before each place that do not fit
+        bad[0] = 0
+        np.cumsum(~fits, out=bad[1 : n + 1])
+        bad[n + 1 :] = bad[n]
+        choice[bad[COUNTS[selector] :] == bad[:n]] = selector
     step, starts, at = np.array(COUNTS)[choice].tolist(), [], 0
     while at < n:
         starts.append(at)
         at += step[at]
     starts = np.array(starts, np.int64)
-    chosen = choice[starts]
+    chosen = choice[starts].astype(np.int64)
     place = np.cumsum(np.where(chosen == 0, 2, 1)) - np.where(chosen == 0, 2, 1)
     words = np.zeros(int(place[-1] + (2 if chosen[-1] == 0 else 1)) if n else 0, np.uint64)
     padded = np.concatenate([ids, np.zeros(max(COUNTS), np.uint64)])
@@ -156,32 +164,32 @@ def write(docs: DataFrame, path: str, end_id: int, folder: str | None = None, id
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """Per document of the files: ``doc_id``, ``start``, ``n_tokens`` and ``ids`` (little-endian 32-bit, binary)."""
+    """Per document of the files: ``doc_id``, ``start``, ``n_tokens`` and ``ids`` (little-endian 32-bit, binary).
+
+    The lengths of the shards, at most one number per range of ids, reach the driver.
+    """
     blocks = spark.read.parquet(folder)
-    id_type = blocks.schema["doc_ids"].dataType.elementType
     schema = T.StructType([
-        T.StructField("shard", T.IntegerType()), T.StructField("doc_id", id_type), T.StructField("_local", T.LongType()),
+        T.StructField("doc_id", blocks.schema["doc_ids"].dataType.elementType), T.StructField("start", T.LongType()),
         T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()),
     ])
+    upto, before = 0, {}
+    for row in blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).orderBy("shard").collect():
+        before[row["shard"]], upto = upto, upto + row["n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                shard, before, n, _, lengths, words = (batch.column(c)[row].as_py() if c != 3 else None for c in range(6))
-                keys = batch.column(3)[row].values
+                shard, offset, n, lengths, words = (batch.column(c)[row].as_py() for c in (0, 1, 2, 4, 5))
                 ids = unpack(np.frombuffer(words, "<u8"), n).astype("<u4")
                 ends = np.cumsum(lengths)
                 starts = ends - np.array(lengths)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([shard] * len(ends), pa.int32()), keys, pa.array(before + starts, pa.int64()),
+                    batch.column(3)[row].values, pa.array(before[shard] + offset + starts, pa.int64()),
                     pa.array(lengths, pa.int64()), pa.array([ids[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
                 ], schema.names)
 
-    docs = blocks.mapInArrow(run, schema)
-    totals = blocks.groupBy("shard").agg(F.sum("n_ids").alias("_n"))  # one row per shard
-    upto = F.sum("_n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select("shard", F.coalesce(upto, F.lit(0)).alias("_before"))
-    return docs.join(offsets, "shard").select("doc_id", (F.col("_before") + F.col("_local")).alias("start"), "n_tokens", "ids")
+    return blocks.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame) -> DataFrame:

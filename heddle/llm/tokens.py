@@ -12,13 +12,41 @@ from collections.abc import Iterable
 
 import numpy as np
 
-#: Pieces that a worker remembers; the cache starts anew beyond that.
+#: Pieces of one generation of a cache; a cache holds two.
 CACHED = 400_000
 
-_PLAIN_WORD = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
-_PLAIN_CHUNK = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+_PLAIN_WORD = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_PLAIN_CHUNK = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 #: Blanks other than a space or a line end, for which a text goes to the library whole.
-_RARE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+_RARE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_PROBES = ["the", " the", "straße", "façade", " Über", "zoology"]
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write printable bytes as themselves, and the others from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class Cache:
+    """Values by key in two generations: what is not asked for in a while goes."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Keys that must be made; the others are young from now on."""
+        if len(self.young) > self.size:
+            self.old, self.young = self.young, {}
+        out = []
+        for key in keys:
+            value = self.old.get(key)
+            if value is None:
+                out.append(key)
+            else:
+                self.young[key] = value
+        return out
 
 
 class PieceEncoder:
@@ -29,9 +57,8 @@ class PieceEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.cached = cached
-        self.words: dict = {}
-        self.pieces: dict[str, bytes] = {}
+        self.model = self.library.model
+        self.words, self.pieces = Cache(cached), Cache(cached)
         self.drops_blanks = self.library.encode("a b", add_special_tokens=False).ids == self.library.encode(
             "a\n b", add_special_tokens=False
         ).ids
@@ -39,21 +66,41 @@ class PieceEncoder:
             "a", add_special_tokens=False
         ).ids
 
+        # a piece of letters needs no normalisation: the model alone gives its ids
+        self.letters = _byte_letters()
+        probes = _PROBES[:1] + _PROBES[2:4] if self.drops_blanks else _PROBES
+        try:
+            self.direct = [self._by_model(p) for p in probes] == self._whole(probes)
+        except Exception:  # noqa: BLE001  a model of another kind
+            self.direct = False
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_pieces(self, pieces: set[str]) -> None:
-        if len(self.pieces) > self.cached:
-            self.pieces.clear()
-        new = [p for p in pieces if p not in self.pieces]
-        self.pieces.update(zip(new, self._whole(new)))
+    def _by_model(self, piece: str) -> bytes:
+        found = self.model.tokenize("".join([self.letters[b] for b in piece.encode()]))
+        return b"".join([t.id.to_bytes(4, "little") for t in found])
+
+    def _encode_pieces(self, pieces: set[str]) -> dict[str, bytes]:
+        known = self.pieces.young
+        new = self.pieces.missing({p for p in pieces if p not in known})
+        known = self.pieces.young
+        plain = _PLAIN_WORD if self.drops_blanks else _PLAIN_CHUNK
+        whole = []
+        for p in new:
+            if self.direct and (m := plain.fullmatch(p)) and not m[2]:
+                known[p] = self._by_model(p)
+            else:
+                whole.append(p)
+        known.update(zip(whole, self._whole(whole) if whole else []))
+        return known
 
     def _parts(self, key) -> list[str]:
         """Pieces of a cut that are encoded apart."""
         if self.drops_blanks:
             text = key.decode("utf-8", "surrogatepass")
             plain = _PLAIN_WORD.fullmatch(text) if self.folds_case else None
-            return list(plain.groups()) if plain else [text]
+            return [p for p in plain.groups() if p] if plain else [text]
         if key[:1] == "\n":
             return ["\n", *(self._parts_of_chunk(key[1:]) if len(key) > 1 else [])]
         return self._parts_of_chunk(key)
@@ -61,7 +108,7 @@ class PieceEncoder:
     @staticmethod
     def _parts_of_chunk(chunk: str) -> list[str]:
         plain = _PLAIN_CHUNK.fullmatch(chunk)
-        return list(plain.groups()) if plain else [chunk]
+        return [p for p in plain.groups() if p] if plain else [chunk]
 
     def _cut(self, text: str) -> list | None:
         """Cuts whose ids, one after another, are those of the text; None if it must stay whole."""
@@ -78,17 +125,20 @@ class PieceEncoder:
         """One array of 32-bit ids per text; a NULL text is empty."""
         texts = [t or "" for t in texts]
         cuts = [self._cut(t) for t in texts]
-        if len(self.words) > self.cached:
-            self.words.clear()
-        known = self.words
-        new = {w for c in cuts if c for w in c if w not in known}
-        if new:
+        get = self.words.young.get
+        found = [list(map(get, c)) if c else [] for c in cuts]
+        open_ = [i for i, ids in enumerate(found) if None in ids]
+        if open_:
+            new = self.words.missing({w for i in open_ for w, ids in zip(cuts[i], found[i]) if ids is None})
             parts = {w: self._parts(w) for w in new}
-            self._encode_pieces({p for ps in parts.values() for p in ps})
+            pieces = self._encode_pieces({p for ps in parts.values() for p in ps})
+            young = self.words.young
             for w, ps in parts.items():
-                known[w] = b"".join([self.pieces[p] for p in ps])
+                young[w] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
+            for i in open_:
+                found[i] = [young[w] if ids is None else ids for w, ids in zip(cuts[i], found[i])]
+        out = [b"".join(ids) for ids in found]
         whole = [i for i, c in enumerate(cuts) if c is None]
-        out = [b"".join([known[w] for w in c]) if c else b"" for c in cuts]
         for i, ids in zip(whole, self._whole([texts[i] for i in whole]) if whole else []):
             out[i] = ids
         return [np.frombuffer(ids, "<u4") for ids in out]
