@@ -33,6 +33,23 @@ def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda acc, v: acc + v.cast("long"))
 
 
+def frequent_rows(counts: DataFrame, n_col: str, limit: int) -> DataFrame:
+    """Rows of the largest ``n_col``, at most ``limit``; all rows of one class of sizes or none.
+
+    A histogram with four classes per doubling tells how far down one can go, so nothing
+    is sorted.  ``counts`` is read twice and should be a written table.
+    """
+    graded = counts.withColumn("_grade", F.floor(4 * F.log2(F.col(n_col))).cast("int"))
+    spread = {r["_grade"]: r["count"] for r in graded.groupBy("_grade").count().collect()}
+    least, held = 1 << 30, 0
+    for grade in sorted(spread, reverse=True):
+        held += spread[grade]
+        if held > limit:
+            break
+        least = grade
+    return graded.filter(F.col("_grade") >= least).drop("_grade")
+
+
 def id_bounds(docs: DataFrame, id_col: str, most: int = 20_000) -> list:
     """Upper ends of ranges of ids that hold about as many rows as an input partition; each is an id."""
     ranges = min(max(2, docs.rdd.getNumPartitions()), most)

@@ -25,6 +25,7 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -37,12 +38,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heddle.functions.runtime import cut, quoted
+from heddle.llm.common import frequent_rows
 from heddle.llm.tokens import sub_batches
 
 ORDER = 5
 NODES = 49_152
-#: Distinct words up to which their counts are broadcast (16 bytes each); beyond, they are joined.
-BROADCAST_WORDS = 6_000_000
+#: The most frequent words, whose counts are broadcast (16 bytes each); the others are joined.
+BROADCAST_WORDS = 400_000
 END = 255
 
 
@@ -135,8 +137,8 @@ def trie(counts: DataFrame, order: int = ORDER, nodes: int = NODES) -> list[tupl
         level = cut(level.groupBy(F.expr(f"key & {(1 << 8 * (length + 1)) - 1}L").alias("key")).agg(F.sum("n").alias("n")), "level")
         levels.append(level.withColumn("length", F.lit(length)))
     pairs = reduce(DataFrame.unionByName, levels).withColumn("context", F.shiftright("key", 8))
-    sizes = pairs.groupBy("length", "context").agg(F.sum("n").alias("total"))
-    kept = sizes.orderBy(F.desc("total"), "length", "context").limit(nodes).select("length", "context")
+    sizes = cut(pairs.groupBy("length", "context").agg(F.sum("n").alias("total")), "contexts")
+    kept = frequent_rows(sizes, "total", nodes).select("length", "context")
     rows = pairs.join(kept, ["length", "context"], "left_semi").select("length", "key", "n").toPandas().sort_values("key")
     of = [rows[rows["length"] == k] for k in range(order + 1)]
     return [(r["key"].to_numpy(np.int64), r["n"].to_numpy(np.int64)) for r in of]
@@ -259,72 +261,64 @@ def score(
     words = counts.filter("kind = 1").select("key", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     floor = math.log10(total + distinct + 1)
-    small = distinct <= broadcast_words
-    held = words.toPandas().sort_values("key") if small else None
-    lists = (held["key"].to_numpy(np.int64), held["n"].to_numpy(np.int64)) if small else None
-    shared = docs.sparkSession.sparkContext.broadcast((levels, lists))
-    name = f"{id(shared)}-{total}-{distinct}-{counts.inputFiles()[:1]}"
-    columns = [
+    common = frequent_rows(words, "n", broadcast_words).toPandas().sort_values("key")
+    keys, logs_of = common["key"].to_numpy(np.int64), np.log10(common["n"].to_numpy(np.int64) + 1.0)
+    shared = docs.sparkSession.sparkContext.broadcast((levels, keys, logs_of))
+    name = uuid.uuid4().hex
+    longs = T.ArrayType(T.LongType())
+    schema = T.StructType([
         T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("held_out", T.BooleanType()),
-        T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("logs", T.DoubleType()),
-        T.StructField("score", T.DoubleType()), T.StructField("n_bytes", T.LongType()),
-    ]
-    by_join = [] if small else [T.StructField("words", T.ArrayType(T.LongType())), T.StructField("times", T.ArrayType(T.LongType()))]
-    schema = T.StructType(columns + by_join)
+        T.StructField("n_tokens", T.LongType()), T.StructField("n_common", T.LongType()), T.StructField("logs", T.DoubleType()),
+        T.StructField("score", T.DoubleType()), T.StructField("n_bytes", T.LongType()), T.StructField("rare", longs),
+        T.StructField("times", longs),
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels_, lists_ = shared.value
+        levels_, keys_, logs_ = shared.value
         children, rows = _flat(name, levels_)
-        logs: dict[bytes, float] = {}
+        known: dict[bytes, float] = {}  # NaN: not among the common words
 
         def look_up(new: list[bytes]) -> None:
-            keys = np.array([word_key(w) for w in new], np.int64)
-            if not len(lists_[0]):
-                logs.update(dict.fromkeys(new, 0.0))
-                return
-            at = np.minimum(np.searchsorted(lists_[0], keys), len(lists_[0]) - 1)
-            n = np.where(lists_[0][at] == keys, lists_[1][at], 0)
-            logs.update(zip(new, np.log10(n + 1.0).tolist()))
+            asked = np.array([word_key(w) for w in new], np.int64)
+            if len(keys_):
+                at = np.minimum(np.searchsorted(keys_, asked), len(keys_) - 1)
+                known.update(zip(new, np.where(keys_[at] == asked, logs_[at], np.nan).tolist()))
+            else:
+                known.update(dict.fromkeys(new, math.nan))
 
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in sub_batches(texts, 2_000_000):
                 low = [lowered(t) for t in texts[a:b]]
                 split = [[*t.split(), b""] for t in low]
-                scores = text_scores(low, children, rows, order)
+                if len(known) > 500_000:
+                    known.clear()
+                look_up(list({w for s in split for w in s if w not in known}))
+                values = [np.array([known[w] for w in s]) for s in split]
+                others = [np.isnan(v) for v in values]
+                rare = [Counter(s[i] for i in np.flatnonzero(o).tolist()) for s, o in zip(split, others)]
                 n_tokens = np.array([len(s) for s in split], np.int64)
-                out = [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(n_tokens)]
-                if lists_ is not None:
-                    if len(logs) > 500_000:
-                        logs.clear()
-                    new = list({w for s in split for w in s if w not in logs})
-                    if new:
-                        look_up(new)
-                    values = [np.array([logs[w] for w in s]) for s in split]
-                    out += [pa.array([int(np.count_nonzero(v)) for v in values], pa.int64()), pa.array([float(v.sum()) for v in values])]
-                else:
-                    out += [pa.nulls(b - a, pa.int64()), pa.nulls(b - a, pa.float64())]
-                out += [pa.array(scores), pa.array(np.array([len(t) + 1 for t in low], np.int64))]
-                if lists_ is None:
-                    times = [Counter(s) for s in split]
-                    out += [
-                        pa.array([[word_key(w) for w in c] for c in times], pa.list_(pa.int64())),
-                        pa.array([list(c.values()) for c in times], pa.list_(pa.int64())),
-                    ]
-                yield pa.RecordBatch.from_arrays(out, schema.names)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(n_tokens),
+                    pa.array(n_tokens - np.array([int(o.sum()) for o in others], np.int64)),
+                    pa.array(np.array([np.nansum(v) for v in values])), pa.array(text_scores(low, children, rows, order)),
+                    pa.array(np.array([len(t) + 1 for t in low], np.int64)),
+                    pa.array([[word_key(w) for w in c] for c in rare], pa.list_(pa.int64())),
+                    pa.array([list(c.values()) for c in rare], pa.list_(pa.int64())),
+                ], schema.names)
 
     scored = docs.select("doc_id", "text", "held_out").mapInArrow(run, schema)
-    if not small:
-        scored = cut(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
-        pairs = scored.select("_row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
-            "_row", F.col("w.words").alias("key"), F.col("w.times").alias("times")
-        )
-        sums = pairs.join(words, "key").groupBy("_row").agg(
-            F.sum("times").alias("_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("_logs")
-        )
-        scored = scored.join(sums, "_row", "left").withColumns(
-            {"n_known": F.coalesce("_known", F.lit(0).cast("long")), "logs": F.coalesce("_logs", F.lit(0.0))}
-        )
+    scored = cut(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
+    pairs = scored.select("_row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
+        "_row", F.col("w.rare").alias("key"), F.col("w.times").alias("times")
+    )
+    # words are spread by their hash, and frequent ones are not among these, so no key is hot
+    sums = pairs.join(words, "key").groupBy("_row").agg(
+        F.sum("times").alias("_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("_logs")
+    )
+    scored = scored.drop("rare", "times").join(sums, "_row", "left").withColumns({
+        "n_known": F.col("n_common") + F.coalesce("_known", F.lit(0)), "logs": F.col("logs") + F.coalesce("_logs", F.lit(0.0)),
+    })
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
         (F.col("logs") - F.col("n_tokens") * F.lit(floor)).alias("base_score"), "score", "n_bytes",

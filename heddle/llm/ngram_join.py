@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heddle.functions.runtime import cut, quoted
+from heddle.llm.common import frequent_rows
 from heddle.operators.graph import connected_components
 
 WIDTH = 5
@@ -135,20 +136,9 @@ def read_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def frequent(sets: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, sorted, and their counts; at most ``limit`` of them.
-
-    A histogram of the counts, four classes per doubling, tells how far down one can go.
-    """
+    """The most frequent shingles, sorted, and their counts; at most ``limit`` of them."""
     counts = sets.filter("token IS NOT NULL").groupBy("token").agg(F.sum("freq").alias("freq"))
-    graded = cut(counts.withColumn("grade", F.floor(4 * F.log2("freq")).cast("int")), "shingles")
-    spread = {r["grade"]: r["count"] for r in graded.groupBy("grade").count().collect()}
-    least, held = 1 << 30, 0
-    for grade in sorted(spread, reverse=True):
-        held += spread[grade]
-        if held > limit:
-            break
-        least = grade
-    rows = graded.filter(F.col("grade") >= least).select("token", "freq").toPandas()
+    rows = frequent_rows(cut(counts, "shingles"), "freq", limit).toPandas()
     tokens = rows["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     return tokens[order], rows["freq"].to_numpy(np.int64)[order]
