@@ -13,7 +13,7 @@ from collections.abc import Iterable
 import numpy as np
 
 #: Pieces of one generation of a cache; a cache holds two.
-CACHED = 400_000
+CACHED = 600_000
 
 _PLAIN_WORD = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _PLAIN_CHUNK = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
@@ -35,17 +35,21 @@ class Cache:
     def __init__(self, size: int):
         self.size, self.young, self.old = size, {}, {}
 
-    def missing(self, keys: set) -> list:
-        """Keys that must be made; the others are young from now on."""
+    def turn(self) -> None:
+        """Begin a new generation if this one is full; before a round of look-ups."""
         if len(self.young) > self.size:
             self.old, self.young = self.young, {}
+
+    def missing(self, keys: set) -> list:
+        """Those of ``keys`` that must be made; the others are young from now on."""
         out = []
         for key in keys:
-            value = self.old.get(key)
-            if value is None:
-                out.append(key)
-            else:
-                self.young[key] = value
+            if key not in self.young:
+                value = self.old.get(key)
+                if value is None:
+                    out.append(key)
+                else:
+                    self.young[key] = value
         return out
 
 
@@ -78,37 +82,38 @@ class PieceEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _by_model(self, piece: str) -> bytes:
-        found = self.model.tokenize("".join([self.letters[b] for b in piece.encode()]))
+        if piece.isascii():  # letters stand for themselves
+            spelled = piece.replace(" ", self.letters[32])
+        else:
+            spelled = "".join([self.letters[b] for b in piece.encode()])
+        found = self.model.tokenize(spelled)
         return b"".join([t.id.to_bytes(4, "little") for t in found])
 
-    def _encode_pieces(self, pieces: set[str]) -> dict[str, bytes]:
-        known = self.pieces.young
-        new = self.pieces.missing({p for p in pieces if p not in known})
-        known = self.pieces.young
-        plain = _PLAIN_WORD if self.drops_blanks else _PLAIN_CHUNK
-        whole = []
-        for p in new:
-            if self.direct and (m := plain.fullmatch(p)) and not m[2]:
-                known[p] = self._by_model(p)
-            else:
-                whole.append(p)
+    def _encode_pieces(self, pieces: set[str], letters: set[str]) -> dict[str, bytes]:
+        """Ids of the pieces (and of others); ``letters`` are those of letters only."""
+        self.pieces.turn()
+        known, new = self.pieces.young, self.pieces.missing(pieces)
+        whole = [p for p in new if p not in letters] if self.direct else new
         known.update(zip(whole, self._whole(whole) if whole else []))
+        for p in new if self.direct else ():
+            if p not in known:
+                known[p] = self._by_model(p)
         return known
 
-    def _parts(self, key) -> list[str]:
+    def _parts(self, key, letters: set[str]) -> list[str]:
         """Pieces of a cut that are encoded apart."""
         if self.drops_blanks:
             text = key.decode("utf-8", "surrogatepass")
             plain = _PLAIN_WORD.fullmatch(text) if self.folds_case else None
-            return [p for p in plain.groups() if p] if plain else [text]
-        if key[:1] == "\n":
-            return ["\n", *(self._parts_of_chunk(key[1:]) if len(key) > 1 else [])]
-        return self._parts_of_chunk(key)
-
-    @staticmethod
-    def _parts_of_chunk(chunk: str) -> list[str]:
-        plain = _PLAIN_CHUNK.fullmatch(chunk)
-        return [p for p in plain.groups() if p] if plain else [chunk]
+        else:
+            if key[:1] == "\n":
+                return ["\n", *(self._parts(key[1:], letters) if len(key) > 1 else [])]
+            text, plain = key, _PLAIN_CHUNK.fullmatch(key)
+        if not plain:
+            return [text]
+        word, marks = plain.groups()
+        letters.add(word)
+        return [word, marks] if marks else [word]
 
     def _cut(self, text: str) -> list | None:
         """Cuts whose ids, one after another, are those of the text; None if it must stay whole."""
@@ -125,18 +130,22 @@ class PieceEncoder:
         """One array of 32-bit ids per text; a NULL text is empty."""
         texts = [t or "" for t in texts]
         cuts = [self._cut(t) for t in texts]
+        self.words.turn()
         get = self.words.young.get
         found = [list(map(get, c)) if c else [] for c in cuts]
-        open_ = [i for i, ids in enumerate(found) if None in ids]
-        if open_:
-            new = self.words.missing({w for i in open_ for w, ids in zip(cuts[i], found[i]) if ids is None})
-            parts = {w: self._parts(w) for w in new}
-            pieces = self._encode_pieces({p for ps in parts.values() for p in ps})
+        gaps = []  # places of cuts that this worker has not met
+        for ids, words in zip(found, cuts):
+            if None in ids:
+                gaps += [(ids, at, words[at]) for at, known in enumerate(ids) if known is None]
+        if gaps:
+            letters: set[str] = set()
+            parts = {w: self._parts(w, letters) for w in self.words.missing({w for _, _, w in gaps})}
+            pieces = self._encode_pieces({p for ps in parts.values() for p in ps}, letters)
             young = self.words.young
             for w, ps in parts.items():
                 young[w] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
-            for i in open_:
-                found[i] = [young[w] if ids is None else ids for w, ids in zip(cuts[i], found[i])]
+            for ids, at, w in gaps:
+                ids[at] = young[w]
         out = [b"".join(ids) for ids in found]
         whole = [i for i, c in enumerate(cuts) if c is None]
         for i, ids in zip(whole, self._whole([texts[i] for i in whole]) if whole else []):
