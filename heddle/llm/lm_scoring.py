@@ -28,7 +28,6 @@ import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +45,7 @@ NODES = 49_152
 #: The most frequent words, whose counts are broadcast (16 bytes each); the others are joined.
 BROADCAST_WORDS = 400_000
 END = 255
+WORDS = 9
 
 
 def lowered(text: str | None) -> bytes:
@@ -76,7 +76,11 @@ def _sequences(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count(train: DataFrame, order: int = ORDER) -> DataFrame:
-    """Counts of the training texts: rows (``kind``, ``key``, ``n``), kind 0 for bytes in context, 1 for words."""
+    """Counts of the training texts: rows (``kind``, ``key``, ``n``).
+
+    Kind k up to ``order`` is a byte behind k others, ``WORDS`` a word.  A task's counts
+    of one length give those of the next shorter one, so the texts are walked once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
@@ -89,7 +93,7 @@ def count(train: DataFrame, order: int = ORDER) -> DataFrame:
 
         def word_rows() -> pa.RecordBatch:
             keys = np.array([word_key(w) for w in words], np.int64)
-            out = rows(1, keys, np.fromiter(words.values(), np.int64, len(words)))
+            out = rows(WORDS, keys, np.fromiter(words.values(), np.int64, len(words)))
             words.clear()
             return out
 
@@ -118,7 +122,11 @@ def count(train: DataFrame, order: int = ORDER) -> DataFrame:
                 if len(words) > 1_000_000:
                     yield word_rows()
         if held:
-            yield rows(0, *merged())
+            keys, n = merged()
+            for length in range(order, -1, -1):
+                held = [(keys & np.uint64((1 << 8 * (length + 1)) - 1), n)]
+                keys, n = merged()
+                yield rows(length, keys, n)
         if words:
             yield word_rows()
 
@@ -131,12 +139,9 @@ def trie(counts: DataFrame, order: int = ORDER, nodes: int = NODES) -> list[tupl
 
     Only the followers of at most ``nodes`` contexts reach the driver.
     """
-    level = counts.filter("kind = 0").select("key", "n")
-    levels = [level.withColumn("length", F.lit(order))]
-    for length in range(order - 1, -1, -1):
-        level = cut(level.groupBy(F.expr(f"key & {(1 << 8 * (length + 1)) - 1}L").alias("key")).agg(F.sum("n").alias("n")), "level")
-        levels.append(level.withColumn("length", F.lit(length)))
-    pairs = reduce(DataFrame.unionByName, levels).withColumn("context", F.shiftright("key", 8))
+    pairs = counts.filter(F.col("kind") <= order).select(
+        F.col("kind").alias("length"), "key", "n", F.shiftright("key", 8).alias("context")
+    )
     sizes = cut(pairs.groupBy("length", "context").agg(F.sum("n").alias("total")), "contexts")
     kept = frequent_rows(sizes, "total", nodes).select("length", "context")
     rows = pairs.join(kept, ["length", "context"], "left_semi").select("length", "key", "n").toPandas().sort_values("key")
@@ -258,7 +263,7 @@ def score(
     docs = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).cast("string").alias("text"), (~known).alias("held_out"))
     counts = cut(count(docs.filter("NOT held_out"), order), "counts")
     levels = trie(counts, order, nodes)
-    words = counts.filter("kind = 1").select("key", "n")
+    words = counts.filter(F.col("kind") == WORDS).select("key", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     floor = math.log10(total + distinct + 1)
     common = frequent_rows(words, "n", broadcast_words).toPandas().sort_values("key")
