@@ -28,7 +28,7 @@ STATUS = f"""status AS (SELECT *, {PASS_USER} AS u, {PASS_ALT} AS a, CASE WHEN (
 
 @query("q1_auto_thresholds")
 def q1(spark, sf):
-    return r6(qc.auto_thresholds(qc_obs(spark, sf), METRICS, max_components=4), "low", "high", digits=3)
+    return r6(qc.auto_thresholds(qc_obs(spark, sf), METRICS), "low", "high", digits=3)
 
 
 @query("q2_merge_thresholds", f"""WITH {QC} SELECT cell_id, n_counts BETWEEN 30 AND 250 AND n_genes BETWEEN 0 AND 6 AND percent_mito >= 0 AS kept, FALSE AS kept_missing FROM qc""")
@@ -210,8 +210,7 @@ MARKERS = {"rings": {"small": ["small ring", "no such part"], "blue": ["blue rin
 @query("d7_resolve_sets", f"""WITH {VAR}, s AS (SELECT * FROM (VALUES ('small', 'small ring'), ('blue', 'blue ring'), ('plates', 'blue plate'), ('plates', 'new plate'), ('one', 'hot rod')) t(set_id, feature_name))
   SELECT set_id, count(*) AS n_features FROM s JOIN var USING (feature_name) GROUP BY 1""")
 def d7(spark, sf):
-    flat = mk.resolve_sets(MARKERS, flatten=True)
-    sets = mk.sets_table(spark, flat)
+    sets = mk.sets_table(spark, MARKERS)
     return sets.join(view.var(spark, sf), "feature_name").groupBy("set_id").agg(F.count("*").alias("n_features"))
 
 
@@ -279,7 +278,7 @@ def r5(spark, sf):
 @query("r6_density_distances")
 def r6_(spark, sf):
     emb = view.emb(spark, sf).withColumn("s", F.col("cell_id") % 5)
-    return r6(sa.density_distances(emb, "s", n_components=2, n_dims=4, rounds=8), "dist", digits=4)
+    return r6(sa.density_distances(emb, "s"), "dist", digits=4)
 
 
 @query("r7_sample_neighbors", f"""WITH {COMPOSITION} SELECT src, dst, dist FROM (SELECT src, dst, round(dist, 9) AS dist FROM cd) WHERE src <> dst

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from heddle.catalog import query
@@ -333,14 +335,14 @@ def x25(spark, sf):
     return ev.attach_metrics(view.annotated(spark, sf), rec)["uns"]
 
 
-@query("x26_bootstrap_metric", f"""WITH {OBS}, b AS (SELECT cell_id, sample, organ, unnest([0, 1, 2]) AS boot_id FROM obs),
-    s AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY boot_id ORDER BY md5('42|' || boot_id || ':' || cell_id), boot_id || ':' || cell_id) <= 9000),
+@query("x26_bootstrap_metric", f"""WITH {OBS}, b AS (SELECT cell_id, sample, organ, unnest([0, 1, 2, 3, 4]) AS boot_id FROM obs),
+    s AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY boot_id ORDER BY md5('42|' || boot_id || ':' || cell_id), boot_id || ':' || cell_id) <= (SELECT CAST(floor(0.9 * count(*)) AS BIGINT) FROM obs)),
     c AS (SELECT boot_id, sample AS a, organ AS b, count(*) AS nij FROM s GROUP BY 1, 2, 3),
     m AS (SELECT *, sum(nij) OVER (PARTITION BY boot_id, a) AS ni, sum(nij) OVER (PARTITION BY boot_id, b) AS nj, sum(nij) OVER (PARTITION BY boot_id) AS n FROM c)
   SELECT boot_id, round(2 * sum(nij / n * ln(n * nij / (ni * nj))) / (sum(-nij / n * ln(ni / n)) + sum(-nij / n * ln(nj / n))), 6) AS score FROM m GROUP BY 1""")
 def x26(spark, sf):
     o = view.obs(spark, sf)
-    ids = mt.bootstrap_ids(o, "cell_id", 9000, 3)
+    ids = mt.bootstrap_ids(o, "cell_id", math.floor(0.9 * o.count()), 5)
     return r6(mt.nmi(o.join(ids, "cell_id"), "sample", "organ", ["boot_id"]), "score")
 
 

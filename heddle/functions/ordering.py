@@ -82,6 +82,21 @@ def running_index(
     return prefix_sums(df, keys, order, {name: F.lit(1).cast("long")})
 
 
+def suffix_min(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Least ``value`` from each row on, per key in the given order, without one-task groups."""
+    keys, order = list(keys), list(order)
+    cols = [quoted(k) for k in keys]
+    sliced = cut(
+        df.repartitionByRange(*cols, *[quoted(c) for c in order]).withColumn("_slice", F.spark_partition_id()), "slices"
+    )
+    lows = sliced.groupBy(*cols, "_slice").agg(F.min(quoted(value)).alias("_low"))
+    after = Window.partitionBy(*cols).orderBy("_slice").rowsBetween(1, Window.unboundedFollowing)
+    later = lows.select(*cols, "_slice", F.min("_low").over(after).alias("_later"))
+    within = Window.partitionBy(*cols, "_slice").orderBy(*[quoted(c) for c in order]).rowsBetween(0, Window.unboundedFollowing)
+    lowest = sliced.withColumn(name, F.min(quoted(value)).over(within))
+    return join_keys(lowest, later, [*keys, "_slice"]).withColumn(name, F.least(name, "_later")).drop("_slice", "_later")
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],

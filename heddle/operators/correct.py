@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from heddle.functions.runtime import cut, drop_missing, join_keys, quoted
 from heddle.operators import matrix as mx
 from heddle.operators.graph import connectivities
-from heddle.operators.neighbors import knn
+from heddle.operators.neighbors import knn, pairwise_blocks
 
 MAX_GROUPS = 10_000
 
@@ -314,13 +314,43 @@ def match_shares(pairs: DataFrame, emb: DataFrame, batch: str) -> DataFrame:
     return shares.groupBy("left", "right").agg(F.max("share").alias("share"))
 
 
+def smoothed_shifts(rows: DataFrame, anchored: DataFrame, sigma: float) -> DataFrame:
+    """Per row (``src``) the Gaussian mean ``_move`` of the shifts of all anchors.
+
+    A block pair emits the weight sum and the weighted shift sum of each row, relative
+    to its nearest anchor in the block, so far rows do not underflow; the blocks are put
+    on the scale of the nearest anchor of all when they are added up.
+    """
+    id_type = rows.schema["cell_id"].dataType.simpleString()
+
+    def block(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if len(p) == 0 or len(q) == 0:
+            return pd.DataFrame({"src": [], "least": [], "w": [], "s": []})
+        a, b = np.stack(p["v"]), np.stack(q["v"])
+        squares = np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1) - 2 * a @ b.T, 0)
+        least = squares.min(axis=1)
+        w = np.exp(-0.5 * sigma * (squares - least[:, None]))
+        return pd.DataFrame({"src": p["cell_id"], "least": least, "w": w.sum(axis=1), "s": list(w @ np.stack(q["shift"]))})
+
+    parts = cut(pairwise_blocks(rows, anchored, block, f"src {id_type}, least double, w double, s array<double>"), "shifts")
+    nearest = parts.groupBy("src").agg(F.min("least").alias("_least"))
+    scale = F.exp(-0.5 * sigma * (F.col("least") - F.col("_least")))
+    scaled = parts.join(nearest, "src").withColumn("_scale", scale)
+    sums = scaled.groupBy("src").agg(
+        F.sum(F.col("_scale") * F.col("w")).alias("_w"),
+        vector_to_array(Summarizer.sum(array_to_vector(F.transform("s", lambda x: x * F.col("_scale"))))).alias("_s"),
+    )
+    return sums.select("src", F.transform("_s", lambda x: x / F.col("_w")).alias("_move"))
+
+
 def panorama(
-    emb: DataFrame, batch: str, k: int = 20, sigma: float = 15.0, min_share: float = 0.1, anchors: int = 20
+    emb: DataFrame, batch: str, k: int = 20, sigma: float = 15.0, min_share: float = 0.1
 ) -> DataFrame:
     """Batches stitched together along mutual neighbours.
 
     Pairs of batches are joined by falling match share; the rows of the joining side
-    move by the Gaussian mean of the shifts of their nearest matched rows.
+    move by the Gaussian mean of the shifts of all its matched rows, summed block by
+    block.
     """
     size = F.greatest(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, e: a + e * e)), F.lit(1e-12))
     rows = cut(emb.select("cell_id", quoted(batch).cast("string").alias("batch"), F.transform("v", lambda e: e / size).alias("v")), "panorama")
@@ -342,13 +372,7 @@ def panorama(
         ).groupBy("src").agg(F.first("_s").alias("v"), Summarizer.mean(array_to_vector("_shift")).alias("_m"))
         anchored = cut(shifts.select(F.col("src").alias("cell_id"), "v", vector_to_array("_m").alias("shift")), "anchors")
         movers = rows.filter(inside("batch", moving))
-        near = knn(movers.select("cell_id", "v"), anchors, targets=anchored.select("cell_id", "v"))
-        # Weights relative to the nearest anchor keep far rows from underflowing.
-        least = near.groupBy("src").agg(F.min("dist").alias("_least"))
-        w = F.exp(-0.5 * sigma * (F.col("dist") * F.col("dist") - F.col("_least") * F.col("_least")))
-        moved = near.join(least, "src").join(anchored.select(F.col("cell_id").alias("dst"), "shift"), "dst").select(
-            "src", w.alias("w"), array_to_vector("shift").alias("s")
-        ).groupBy("src").agg(vector_to_array(Summarizer.mean(F.col("s"), F.col("w"))).alias("_move"))
+        moved = smoothed_shifts(movers.select("cell_id", "v"), anchored, sigma)
         joined = rows.join(moved.withColumnRenamed("src", "cell_id"), "cell_id", "left")
         rows = cut(
             joined.select("cell_id", "batch", F.when(F.col("_move").isNull(), F.col("v")).otherwise(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -97,17 +98,17 @@ def select_neighbors(table: AnnotatedTable, output_type: str = "knn", key: str |
     return out
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame, run: Sequence[str] = (), max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, nodes: DataFrame, run: Sequence[str] = ()) -> DataFrame:
     """Smallest node id reachable from each node (per run key).
 
     Every round takes the smallest label of the neighbours and then follows the
-    label of the label, so long chains shrink quickly.
+    label of the label, so long chains shrink quickly.  It ends when no label moves.
     """
     run = list(run)
     edges = edges.select(*run, "src", "dst")
     both = cut(edges.unionByName(edges.select(*run, F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "edges")
     labels = cut(nodes.select(*run, "node", F.col("node").alias("component")), "labels")
-    for _ in range(max_rounds):
+    while True:
         near = labels.withColumnsRenamed({"node": "dst", "component": "_c"})
         least = both.join(near, [*run, "dst"]).groupBy(*run, "src").agg(F.min("_c").alias("_c"))
         pulled = labels.join(least.withColumnRenamed("src", "node"), [*run, "node"], "left").select(
@@ -121,7 +122,6 @@ def connected_components(edges: DataFrame, nodes: DataFrame, run: Sequence[str]
         labels = cut(stepped.observe(seen, F.bool_or("_moved").alias("moved")).drop("_moved"), "labels")
         if not seen.get["moved"]:
             return labels
-    raise RuntimeError("connected components did not settle")
 
 
 def _is_head(step: str, run: Sequence[str], comm: str) -> Column:
@@ -156,13 +156,14 @@ def merge_round(edges: DataFrame, totals: DataFrame, run: Sequence[str], step: i
     return written, bool(seen.get["open"])
 
 
-def refine_rounds(edges: DataFrame, state: DataFrame, run: Sequence[str], rounds: int, tolerance: float) -> DataFrame:
+def refine_rounds(edges: DataFrame, state: DataFrame, run: Sequence[str], tolerance: float) -> DataFrame:
     """Single rows move from tail to head communities while modularity rises.
 
-    The best state seen is returned, so a round can never make the result worse.
+    The best state seen is returned, so a round can never make the result worse.  Two
+    rounds without a gain end the search.
     """
     best_state, best_quality, stalled = state, -np.inf, 0
-    for step in range(rounds + 1):
+    for step in count():
         totals = state.groupBy(*run, F.col("comm").alias("_to")).agg(F.sum("k").alias("_tot"))
         near = edges.join(state.select(*run, F.col("node").alias("dst"), F.col("comm").alias("_to")), [*run, "dst"])
         own_row = state.select(*run, "node", F.col("comm").alias("_to"), F.lit(0.0).alias("w"))
@@ -207,8 +208,6 @@ def cluster(
     resolutions: Sequence[float] = (1.0,),
     algorithm: str = "leiden",
     run: Sequence[str] = (),
-    max_rounds: int = 30,
-    refine: int = 6,
     tolerance: float = 1e-3,
 ) -> DataFrame:
     """Modularity clusters for all resolutions (and runs) in one job.
@@ -230,7 +229,7 @@ def cluster(
     )
     found = nodes.withColumn("comm", F.col("node"))
     level, totals = base, nodes.withColumnRenamed("node", "comm")
-    for step in range(max_rounds):
+    for step in count():
         placed, is_open = merge_round(level, totals, keys, step)
         if not is_open:
             break
@@ -245,7 +244,7 @@ def cluster(
             .groupBy(*keys, F.col("_s").alias("src"), F.col("_d").alias("dst")).agg(F.sum("w").alias("w")),
             "graph",
         )
-    found = refine_rounds(base, cut(found, "merged"), keys, refine, tolerance).select(*keys, "node", "comm")
+    found = refine_rounds(base, cut(found, "merged"), keys, tolerance).select(*keys, "node", "comm")
     if algorithm == "leiden":
         inside = base.join(found.select(*keys, F.col("node").alias("src"), F.col("comm").alias("_s")), [*keys, "src"]).join(
             found.select(*keys, F.col("node").alias("dst"), F.col("comm").alias("_d")), [*keys, "dst"]

@@ -338,14 +338,25 @@ def _gamma_tail(a: float, x: float) -> float:
     return front * h
 
 
-def chi2_tail(stat: Column, dof: Column) -> Column:
-    """Upper tail probability of the chi-square distribution."""
+def chi2_critical(dof: int, alpha: float) -> float:
+    """Largest statistic whose upper tail probability under chi-square is at least ``alpha``."""
+    low, high = 0.0, 1.0
+    while _gamma_tail(dof / 2.0, high / 2.0) >= alpha:
+        high *= 2
+    while high - low > 1e-13 * high:
+        middle = (low + high) / 2
+        low, high = (middle, high) if _gamma_tail(dof / 2.0, middle / 2.0) >= alpha else (low, middle)
+    return low
+
+
+def critical_values(stats: DataFrame, alpha: float) -> DataFrame:
+    """One critical value per number of degrees of freedom in ``stats``: ``dof, critical``."""
 
     @F.pandas_udf("double")
-    def tail(s: pd.Series, f: pd.Series) -> pd.Series:
-        return pd.Series([_gamma_tail(b / 2.0, a / 2.0) if b > 0 else 1.0 for a, b in zip(s, f)], dtype=float)
+    def critical(dof: pd.Series) -> pd.Series:
+        return pd.Series([chi2_critical(int(d), alpha) for d in dof], dtype=float)
 
-    return tail(stat, dof)
+    return cut(stats.groupBy("dof").agg(F.lit(1).alias("_")).select("dof", critical("dof").alias("critical")), "critical")
 
 
 def kbet_statistic(edges: DataFrame, df: DataFrame, batch: str, within: str | None = None) -> DataFrame:
@@ -372,8 +383,9 @@ def kbet_statistic(edges: DataFrame, df: DataFrame, batch: str, within: str | No
 def kbet(edges: DataFrame, df: DataFrame, batch: str, within: str | None = None, alpha: float = 0.05) -> DataFrame:
     """Share of neighbourhoods whose batch mix is accepted, averaged over keys with two batches."""
     stats = kbet_statistic(edges, df, batch, within).filter("dof > 0")
-    p = chi2_tail(F.col("stat"), F.col("dof").cast("double"))
-    per_key = stats.withColumn("_p", p).groupBy("key").agg(F.avg((F.col("_p") >= alpha).cast("double")).alias("_r"))
+    stats = cut(stats, "kbet")
+    accepted = (F.col("stat") <= F.col("critical")).cast("double")
+    per_key = stats.join(critical_values(stats, alpha), "dof").groupBy("key").agg(F.avg(accepted).alias("_r"))
     return per_key.agg(F.avg("_r").alias("score"))
 
 

@@ -166,7 +166,7 @@ def transport_distances(emb: DataFrame, sample: str, cell_type: str, reg: float
 
 
 def fit_sample_mixtures(
-    emb: DataFrame, sample: str, n_components: int = 3, n_dims: int = 10, rounds: int = 20, ridge: float = 1e-4
+    emb: DataFrame, sample: str, n_components: int = 3, rounds: int = 20, ridge: float = 1e-4
 ) -> DataFrame:
     """Gaussian mixture per sample, fitted for all samples together.
 
@@ -175,7 +175,7 @@ def fit_sample_mixtures(
     tables stay in Spark and are joined to the rows.
     """
     rows = cut(
-        drop_missing(emb, [sample]).select("cell_id", quoted(sample).alias("sample"), F.slice("v", 1, n_dims).alias("v")), "mixture"
+        drop_missing(emb, [sample]).select("cell_id", quoted(sample).alias("sample"), "v"), "mixture"
     )
     first = rows.first()
     d = 0 if first is None else len(first["v"])
@@ -252,15 +252,15 @@ def _log_density(x: np.ndarray, w: np.ndarray, mu: np.ndarray, cov: np.ndarray)
 
 
 def density_distances(
-    emb: DataFrame, sample: str, n_components: int = 3, n_dims: int = 10, rounds: int = 20, draws: int = 1000
+    emb: DataFrame, sample: str, n_components: int = 3, rounds: int = 20, draws: int = 1000
 ) -> DataFrame:
     """Symmetrised Kullback-Leibler divergence of the sample densities.
 
     Each density gives seeded draws; both directions are averaged log ratios.
     """
-    models = fit_sample_mixtures(emb, sample, n_components, n_dims, rounds)
+    models = fit_sample_mixtures(emb, sample, n_components, rounds)
     first = emb.first()
-    d = min(n_dims, len(first["v"])) if first is not None else 0
+    d = len(first["v"]) if first is not None else 0
     rows = models.select(F.col("sample").alias("cell_id"), "w", "mu", "cov", F.abs(F.xxhash64(F.col("sample").cast("string")) % 2147483647).alias("seed"))
     id_type = rows.schema["cell_id"].dataType.simpleString()
 

@@ -469,14 +469,14 @@ def test_density_distance_orders_samples(spark):
     rng = np.random.default_rng(10)
     v = np.vstack([rng.normal(0, 1, (60, 2)), rng.normal(0, 1, (60, 2)), rng.normal(6, 1, (60, 2))])
     emb = embed(spark, v, s=["a"] * 60 + ["b"] * 60 + ["c"] * 60)
-    d = {(r["src"], r["dst"]): r["dist"] for r in sa.density_distances(emb, "s", n_components=1, n_dims=2, rounds=3).collect()}
+    d = {(r["src"], r["dst"]): r["dist"] for r in sa.density_distances(emb, "s", n_components=1, rounds=3).collect()}
     assert abs(d["a", "a"]) < 1e-9 and d["a", "b"] < 1 < d["a", "c"] and abs(d["a", "c"] - d["c", "a"]) < 1e-9
 
 
 def test_mixture_fit_matches_moments(spark):
     rng = np.random.default_rng(11)
     v = rng.normal(2, 3, (200, 2))
-    r = sa.fit_sample_mixtures(embed(spark, v, s=["a"] * 200), "s", 1, 2, 2, ridge=0.0).first()
+    r = sa.fit_sample_mixtures(embed(spark, v, s=["a"] * 200), "s", 1, 2, ridge=0.0).first()
     assert np.allclose(r["mu"], v.mean(0)) and np.allclose(np.array(r["cov"]).reshape(2, 2), np.cov(v.T, ddof=0))
 
 
