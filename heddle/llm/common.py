@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heddle.functions.runtime import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: A word is a run of characters other than the six ASCII blanks.
@@ -15,6 +17,7 @@ WORD = f"[^{BLANK}]+"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
