@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +30,20 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Tasks unpickle functions of the package; workers that do not find it on their own
+    path (a cluster without the wheel, a driver started from another folder) take it
+    from here.
+    """
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if package.is_dir() and getattr(context, "_heddle_shipped", None) != str(package):
+        folder = tempfile.mkdtemp(prefix="heddle-package-")  # of the driver; Spark copies it to the executors
+        context.addPyFile(shutil.make_archive(os.path.join(folder, package.name), "zip", package.parent, package.name))
+        context._heddle_shipped = str(package)
+
+
 def cut(df: DataFrame, tag: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -351,10 +351,17 @@ def pairwise_blocks(
 
 
 def block_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances between two blocks of rows."""
-    out = np.empty((len(a), len(b)))
-    step = max(1, (1 << 22) // max(1, b.size))
-    for at in range(0, len(a), step):
-        gap = a[at : at + step, None, :] - b[None, :, :]
-        out[at : at + step] = np.sqrt((gap * gap).sum(axis=2))
+    """Euclidean distances between two blocks of rows, by one matrix product.
+
+    Pairs that are close for their lengths lose digits that way and are done again by
+    differences.
+    """
+    lengths = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)
+    squares = lengths - 2 * (a @ b.T)
+    close = np.argwhere(squares <= 1e-3 * lengths)
+    out = np.sqrt(np.maximum(squares, 0))
+    for at in range(0, len(close), 1 << 16):
+        i, j = close[at : at + (1 << 16)].T
+        gap = a[i] - b[j]
+        out[i, j] = np.sqrt((gap * gap).sum(axis=1))
     return out

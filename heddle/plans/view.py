@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heddle.functions.runtime import ship
 from heddle.sources.table import AnnotatedTable
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
