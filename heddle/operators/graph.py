@@ -7,12 +7,12 @@ from itertools import count
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from heddle.functions.ordering import hash_unit, running_index
+from heddle.functions.ordering import hash_normal, hash_unit, running_index
 from heddle.functions.runtime import cut, quoted
 from heddle.operators.neighbors import knn
 from heddle.sources.table import AnnotatedTable
@@ -357,45 +357,75 @@ def _clip(force: Column) -> Column:
     return F.least(F.greatest(force, F.lit(-4.0)), F.lit(4.0))
 
 
-def mds(distances: DataFrame, n_dims: int = 2) -> DataFrame:
+def _products(left: DataFrame, right: DataFrame, width: int) -> np.ndarray:
+    """Sum over the rows of the outer products of two vectors per ``src``: ``width`` squared numbers."""
+    sums = left.withColumnRenamed("v", "_a").join(right.withColumnRenamed("v", "_b"), "src").select(
+        array_to_vector(F.flatten(F.transform("_a", lambda x: F.transform("_b", lambda y: x * y)))).alias("p")
+    ).agg(vector_to_array(Summarizer.sum(F.col("p"))).alias("s"))
+    return np.array(sums.first()["s"]).reshape(width, width)
+
+
+def _turned(rows: DataFrame, by: np.ndarray) -> DataFrame:
+    """Every vector times a small matrix."""
+    columns = [F.array(*[F.lit(float(x)) for x in c]) for c in by.T]
+    dot = lambda c: F.aggregate(F.zip_with("v", c, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    return rows.select("src", F.array(*[dot(c) for c in columns]).alias("v"))
+
+
+def mds(distances: DataFrame, n_dims: int = 2, extra: int = 8, tolerance: float = 1e-10) -> DataFrame:
     """Classical scaling of a sample distance matrix ``src, dst, dist``.
 
-    The matrix is symmetrised and double centred by aggregates; the eigenvectors
-    are the principal components of its rows.
+    The matrix stays a long table, symmetrised and double centred by aggregates.  Its
+    leading eigenvectors come from subspace iteration: a round multiplies the table with
+    ``n_dims + extra`` vectors by a join, and only matrices of that width reach the
+    driver.  It ends when the wanted eigenvalues stand still.
     """
     turned = distances.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "dist")
     sym = distances.select("src", "dst", "dist").unionByName(turned).groupBy("src", "dst").agg(F.avg("dist").alias("d"))
     squared = cut(sym.select("src", "dst", (F.col("d") * F.col("d")).alias("s")), "mds")
     means = squared.groupBy("src").agg(F.avg("s").alias("_m"))
     overall = squared.agg(F.avg("s")).scalar()
-    centred = (
+    centred = cut(
         squared.join(means, "src")
         .join(means.withColumnsRenamed({"src": "dst", "_m": "_n"}), "dst")
-        .select("src", "dst", (-0.5 * (F.col("s") - F.col("_m") - F.col("_n") + overall)).alias("b"))
-    )
-    rows = cut(
-        centred.groupBy("src").agg(F.array_sort(F.collect_list(F.struct("dst", "b"))).alias("_r")).select(
-            "src", F.col("_r")["b"].alias("v")
-        ),
+        .select("src", "dst", (-0.5 * (F.col("s") - F.col("_m") - F.col("_n") + overall)).alias("b")),
         "mds",
     )
-    n = rows.count()
-    k = min(n, n_dims + 8)
-    fitted = rows.select("src", array_to_vector("v").alias("_vec"))
-    model = PCA(k=k, inputCol="_vec", outputCol="_out").fit(fitted)
-    vectors = model.pc.toArray()
-    signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(k)])
-    at = running_index(rows.select("src"), [], ["src"], "_at")
-    scores = model.transform(fitted).select("src", vector_to_array("_out").alias("s")).join(at, "src")
-    lookup = rows.sparkSession.createDataFrame(
-        [(i + 1, [float(x) for x in vectors[i]]) for i in range(n)], "_at long, u array<double>"
-    )
-    joined = scores.join(lookup, "_at")
-    values = joined.select(F.posexplode(F.zip_with("s", "u", lambda s, u: s * u)).alias("i", "p")).groupBy("i").agg(
-        F.sum("p").alias("value")
-    ).orderBy("i").toPandas()["value"].to_numpy()
-    best = [int(i) for i in np.argsort(-values, kind="stable")[:n_dims] if values[i] > 1e-12]
-    coords = [(F.element_at("u", i + 1) * float(signs[i] * np.sqrt(values[i]))) for i in best]
-    coords += [F.lit(0.0)] * (n_dims - len(best))
-    return joined.select("src", F.array(*coords).alias("v"))
+    width = min(squared.select("src").distinct().count(), n_dims + extra)
+    basis = cut(means.select("src", F.array(*[hash_normal(f"mds{j}", "src") for j in range(width)]).alias("v")), "basis")
+    before = None
+    while width:
+        weighted = centred.join(basis.withColumnRenamed("src", "dst"), "dst").select(
+            "src", array_to_vector(F.transform("v", lambda x: x * F.col("b"))).alias("p")
+        )
+        image = cut(weighted.groupBy("src").agg(vector_to_array(Summarizer.sum(F.col("p"))).alias("v")), "image")
+        gram = _products(basis, basis, width)
+        inner = _products(basis, image, width)
+        # orthonormal combinations of the basis, without directions that have died out
+        size, axes = np.linalg.eigh(gram)
+        alive = size > 1e-12 * size.max()
+        whiten = axes[:, alive] / np.sqrt(size[alive])
+        values, vectors = np.linalg.eigh(whiten.T @ ((inner + inner.T) / 2) @ whiten)
+        order = np.argsort(-values, kind="stable")
+        values, mix = values[order], whiten @ vectors[:, order]
+        top = values[:n_dims]
+        if before is not None and len(before) == len(top) and np.all(np.abs(top - before) <= tolerance * max(np.abs(top).max(), 1e-300)):
+            break
+        before = top
+        largest = np.abs(values).max()
+        if largest == 0:  # all distances are zero
+            break
+        scale = np.maximum(np.abs(values), 1e-9 * largest)
+        basis = cut(_turned(image, mix / scale), "basis")  # the image of orthonormal vectors, kept at length one
+        width = mix.shape[1]
+    if not width:
+        return distances.select("src").limit(0).withColumn("v", F.array().cast("array<double>"))
+    best = [i for i in range(min(n_dims, len(values))) if values[i] > 1e-12]
+    found = cut(_turned(basis, mix[:, best] * np.sqrt(values[best])), "mds") if best else means.select("src", F.array().cast("array<double>").alias("v"))
+    signs = []
+    for i in range(len(best)):  # the entry of largest size is positive
+        top = found.select(F.max_by(F.get("v", i), F.struct(F.abs(F.get("v", i)), "src"))).first()[0]
+        signs.append(1.0 if top is None or top >= 0 else -1.0)
+    coords = [F.get("v", i) * signs[i] for i in range(len(best))] + [F.lit(0.0)] * (n_dims - len(best))
+    return found.select("src", F.array(*coords).alias("v"))
 
