@@ -94,7 +94,7 @@ def q8(spark, sf):
 BATCH_PCR = f"""{COMPONENTS}, first AS (SELECT sample, arg_min(organ, cell_id) AS cov FROM comp GROUP BY 1),
   placed AS (SELECT *, row_number() OVER (ORDER BY sample) AS pos FROM first),
   perms AS (SELECT sample, perm_id, row_number() OVER (PARTITION BY perm_id ORDER BY md5('0|' || perm_id || '|' || sample), sample) AS pos
-    FROM first, (SELECT unnest(range(5)) AS perm_id)),
+    FROM first, (SELECT unnest(range(10)) AS perm_id)),
   maps AS (SELECT perms.sample, perm_id, cov FROM perms JOIN placed USING (pos)),
   tot AS (SELECT pc, avg(x) AS g, var_pop(x) * count(*) AS t FROM pcs GROUP BY 1),
   grp AS (SELECT perm_id, pc, cov, count(*) AS n, avg(x) AS m FROM pcs JOIN maps USING (sample) GROUP BY 1, 2, 3
@@ -107,18 +107,30 @@ BATCH_PCR = f"""{COMPONENTS}, first AS (SELECT sample, arg_min(organ, cell_id) A
 
 @query("q9_batch_pcr", f"""WITH {BATCH_PCR} SELECT 'organ' AS covariate, CAST(perm_id AS INTEGER) AS perm_id, permuted, round(pcr, 9) AS pcr, CAST(5 AS BIGINT) AS n_covariates,
   round(perm_mean, 9) AS perm_mean, round(perm_std, 9) AS perm_std, round(z_score, 5) AS z_score, z_score > 1.5 AS signif,
-  (SELECT count(*) FROM zz WHERE permuted AND z_score > 1.5) / 5 AS perm_signif_frac,
-  round((1 + (SELECT count(*) FROM zz WHERE permuted AND pcr >= (SELECT pcr FROM zz WHERE NOT permuted))) / 6, 6) AS p_val FROM zz""")
+  (SELECT count(*) FROM zz WHERE permuted AND z_score > 1.5) / 10 AS perm_signif_frac,
+  round((1 + (SELECT count(*) FROM zz WHERE permuted AND pcr >= (SELECT pcr FROM zz WHERE NOT permuted))) / 11, 6) AS p_val FROM zz""")
 def q9(spark, sf):
     c = components(spark, sf)
-    out = qc.batch_pcr(c, c, "organ", "sample", n_permute=5)
+    out = qc.batch_pcr(c, c, "organ", "sample")
     return r6(r6(r6(out, "pcr", "perm_mean", "perm_std", digits=9), "z_score", digits=5), "p_val")
 
 
-@query("q9_batch_pcr_number")
+NUMBER_PCR = BATCH_PCR.replace("arg_min(organ, cell_id)", "arg_min(donor, cell_id)")
+NUMBER_PCR = NUMBER_PCR[: NUMBER_PCR.index("  tot AS")] + """
+  nb AS (SELECT perm_id, pc, covar_pop(x, cov) AS cv, var_pop(cov) AS vz, var_pop(x) AS vx FROM pcs JOIN maps USING (sample) GROUP BY 1, 2
+    UNION ALL SELECT -1, pc, covar_pop(x, donor), var_pop(donor), var_pop(x) FROM pcs GROUP BY 2),
+  sc AS (SELECT perm_id, perm_id >= 0 AS permuted, sum(CASE WHEN vz > 0 THEN cv * cv / vz ELSE 0 END) / sum(vx) AS pcr FROM nb GROUP BY 1),
+""" + NUMBER_PCR[NUMBER_PCR.index("  st AS"):]
+
+
+@query("q9_batch_pcr_number", f"""WITH {NUMBER_PCR} SELECT 'donor' AS covariate, CAST(perm_id AS INTEGER) AS perm_id, permuted, round(pcr, 9) AS pcr,
+  (SELECT count(DISTINCT donor) FROM obs) AS n_covariates, round(perm_mean, 9) AS perm_mean, round(perm_std, 9) AS perm_std, round(z_score, 5) AS z_score,
+  z_score > 1.5 AS signif, (SELECT count(*) FROM zz WHERE permuted AND z_score > 1.5) / 10 AS perm_signif_frac,
+  round((1 + (SELECT count(*) FROM zz WHERE permuted AND pcr >= (SELECT pcr FROM zz WHERE NOT permuted))) / 11, 6) AS p_val FROM zz""")
 def q9b(spark, sf):
     c = components(spark, sf)
-    return r6(qc.batch_pcr(c, c, "donor", "sample", n_permute=5), "pcr", "perm_mean", "perm_std", "z_score", "p_val")
+    out = qc.batch_pcr(c, c, "donor", "sample")
+    return r6(r6(r6(out, "pcr", "perm_mean", "perm_std", digits=9), "z_score", digits=5), "p_val")
 
 
 @query("q10_covariate_plan", f"""WITH {OBS} SELECT 'organ' AS covariate, CAST(7 AS INTEGER) AS n_permute FROM obs GROUP BY ALL HAVING count(DISTINCT organ) > 1

@@ -179,7 +179,13 @@ def x13(spark, sf):
     return r6(mt.pcr_comparison(before, c, c, "organ"), "score")
 
 
-@query("x14_pcr_random")
+UNIT = "(('0x' || left(md5('{s}|' || o_orderkey), 12))::BIGINT + 0.5) / 281474976710656.0"
+NOISE = f"""noise AS (SELECT o_orderkey AS cell_id, sqrt(-2 * ln({UNIT.format(s='0a')})) * cos(2 * 3.141592653589793 * {UNIT.format(s='0b')}) AS z FROM orders)"""
+
+
+@query("x14_pcr_random", f"""WITH {COMPONENTS}, {NOISE}
+  SELECT round(sum(CASE WHEN vz > 0 THEN cv * cv / vz ELSE 0 END) / sum(vx), 6) AS score FROM
+    (SELECT pc, covar_pop(x, z) AS cv, var_pop(z) AS vz, var_pop(x) AS vx FROM pcs JOIN noise USING (cell_id) GROUP BY 1)""")
 def x14(spark, sf):
     return r6(mt.pcr_random(components(spark, sf)), "score")
 
@@ -192,10 +198,19 @@ def x15(spark, sf):
     return r6(mt.pcr_sets(components(spark, sf), scores), "score")
 
 
-@query("x28_pcr_random_sets")
+#: Random sets of the sizes of the cycle sets, five draws each.
+RANDOM_SETS = CYCLE_SETS.replace("sets AS", "given AS", 1) + """,
+  sets AS (SELECT set_id, gene_id FROM (SELECT s.set_id || '--' || p.i AS set_id, s.n, g.gene_id
+      FROM (SELECT set_id, count(DISTINCT gene_id) AS n FROM given GROUP BY 1) s CROSS JOIN (SELECT unnest(range(5)) AS i) p CROSS JOIN (SELECT DISTINCT gene_id FROM var) g)
+    QUALIFY row_number() OVER (PARTITION BY set_id ORDER BY md5('0|' || set_id || ':' || gene_id), set_id || ':' || gene_id) <= n)"""
+
+
+@query("x28_pcr_random_sets", f"""WITH {COMPONENTS}, {VAR}, {score_sql(RANDOM_SETS)}
+  SELECT set_id, round(greatest(sum(CASE WHEN vz > 0 THEN cv * cv / vz ELSE 0 END) / sum(vx), 0), 6) AS score FROM
+    (SELECT set_id, pc, covar_pop(x, score) AS cv, var_pop(score) AS vz, var_pop(x) AS vx FROM pcs JOIN scores USING (cell_id) GROUP BY 1, 2) GROUP BY 1""")
 def x28(spark, sf):
     v = view.var(spark, sf)
-    scores = mx.score_sets(view.x(spark, sf), view.obs(spark, sf), v, mx.random_sets(v, cycle_sets(spark, sf), 3))
+    scores = mx.score_sets(view.x(spark, sf), view.obs(spark, sf), v, mx.random_sets(v, cycle_sets(spark, sf), 5))
     return r6(mt.pcr_sets(components(spark, sf), scores), "score")
 
 
@@ -247,7 +262,7 @@ def x18b(spark, sf):
 
 @query("x19_morans_i_random")
 def x19(spark, sf):
-    return r6(mt.morans_i_random(view.emb(spark, sf), n_bootstraps=3), "score")
+    return r6(mt.morans_i_random(view.emb(spark, sf)), "score")
 
 
 RING = f"""{OBS}, ring AS (SELECT cell_id AS src, lead(cell_id) OVER (PARTITION BY donor ORDER BY cell_id) AS dst FROM obs QUALIFY dst IS NOT NULL)"""
@@ -260,7 +275,7 @@ def ring(spark, sf):
     return placed.join(following, ["donor", "pos"]).select(F.col("cell_id").alias("src"), "dst", F.lit(1.0).alias("weight"))
 
 
-@query("x20_morans_i_sets", f"""WITH {RING}, {X}, {VAR}, g AS (SELECT gene_set AS set_id, gene_id FROM var WHERE size > 30),
+RING_SCORES = """
     n AS (SELECT count(*) AS n FROM obs), w AS (SELECT count(*) AS w FROM ring),
     xs AS (SELECT * FROM x WHERE gene_id IN (SELECT gene_id FROM g)),
     s AS (SELECT gene_id, sum(value) / any_value(n) AS m, sum(value * value) - sum(value) ** 2 / any_value(n) AS ss FROM xs, n GROUP BY 1),
@@ -268,15 +283,18 @@ def ring(spark, sf):
     sd AS (SELECT gene_id, sum(value * coalesce(d, 0)) AS sd FROM xs LEFT JOIN deg USING (cell_id) GROUP BY 1),
     cr AS (SELECT a.gene_id, sum(a.value * b.value) AS c FROM ring JOIN xs a ON src = a.cell_id JOIN xs b ON dst = b.cell_id AND a.gene_id = b.gene_id GROUP BY 1),
     mi AS (SELECT gene_id, greatest(n / w * (coalesce(c, 0) - m * sd + m * m * w) / ss, 0) AS i FROM s JOIN sd USING (gene_id) LEFT JOIN cr USING (gene_id), n, w)
-  SELECT set_id, round(avg(i), 6) AS score FROM g JOIN mi USING (gene_id) GROUP BY 1""")
+  SELECT set_id, round(avg(i), 6) AS score FROM g JOIN mi USING (gene_id) GROUP BY 1"""
+
+
+@query("x20_morans_i_sets", f"""WITH {RING}, {X}, {VAR}, g AS (SELECT gene_set AS set_id, gene_id FROM var WHERE size > 30),{RING_SCORES}""")
 def x20(spark, sf):
     sets = view.var(spark, sf).filter("size > 30").select(F.col("gene_set").alias("set_id"), "gene_id")
     return r6(mt.morans_i_sets(ring(spark, sf), view.x(spark, sf), view.obs(spark, sf), sets), "score")
 
 
-@query("x27_morans_i_random_sets")
+@query("x27_morans_i_random_sets", f"""WITH {RING}, {X}, {VAR}, {RANDOM_SETS}, g AS (SELECT set_id, gene_id FROM sets),{RING_SCORES}""")
 def x27(spark, sf):
-    sets = mx.random_sets(view.var(spark, sf), cycle_sets(spark, sf), 3)
+    sets = mx.random_sets(view.var(spark, sf), cycle_sets(spark, sf), 5)
     return r6(mt.morans_i_sets(ring(spark, sf), view.x(spark, sf), view.obs(spark, sf), sets), "score")
 
 
