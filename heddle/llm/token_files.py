@@ -35,23 +35,32 @@ BITS = (64, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 BLOCK = 1 << 16
 
 
+_SMALL = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
+
+
+def _widths(ids: np.ndarray, n: int) -> np.ndarray:
+    """Bits of every id; one too many where a double cannot tell, which only costs space."""
+    if n and int(ids.max()) < len(_SMALL):
+        return _SMALL[ids.astype(np.uint16)]
+    return np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
+
+
 def pack(ids: np.ndarray) -> np.ndarray:
     """64-bit words of non-negative ids, packed greedily from the front."""
     ids = np.asarray(ids, np.uint64)
     n = len(ids)
     choice = np.zeros(n, np.int8)
-    widest = int(ids.max()).bit_length() if n else 0
-    small = ids.astype(np.uint32) if widest <= 32 else ids
-    enough = next((s for s in range(2, 16) if BITS[s] >= widest), 15)
-    for selector in range(enough, 0, -1):  # a smaller selector holds more ids and wins
-        fits = small < small.dtype.type(1 << BITS[selector]) if BITS[selector] < widest else np.ones(n, bool)
-        if not fits.any():
-            break
-        bad = np.empty(n + COUNTS[selector], np.int32)  # ids before each place that do not fit
-        bad[0] = 0
-        np.cumsum(~fits, out=bad[1 : n + 1])
-        bad[n + 1 :] = bad[n]
-        choice[bad[COUNTS[selector] :] == bad[:n]] = selector
+    widest = _widths(ids, n)
+    widths = [np.concatenate([widest, np.zeros(max(COUNTS), np.uint8)])]  # of 1, 2, 4 ... ids together
+    while 2 << len(widths) <= 2 * max(COUNTS):
+        half = 1 << (len(widths) - 1)
+        widths.append(np.maximum(widths[-1][: len(widths[-1]) - half], widths[-1][half:]))
+    for selector in range(15, 0, -1):  # a smaller selector holds more ids and wins
+        count = COUNTS[selector]
+        level = count.bit_length() - 1
+        ahead = count - (1 << level)
+        window = np.maximum(widths[level][:n], widths[level][ahead : ahead + n])
+        choice[window <= BITS[selector]] = selector
     step, starts, at = np.array(COUNTS)[choice].tolist(), [], 0
     while at < n:
         starts.append(at)
