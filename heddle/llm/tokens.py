@@ -17,8 +17,10 @@ CACHED = 600_000
 
 _PLAIN_WORD = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _PLAIN_CHUNK = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-#: Blanks other than a space or a line end, for which a text goes to the library whole.
-_RARE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Blanks other than a space or a line end, and the mark below: such a text goes to the library whole.
+_RARE = re.compile("[\x00\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Marks a cut without a space in front.
+_FIRST = "\x00"
 _PROBES = ["the", " the", "straße", "façade", " Über", "zoology"]
 
 
@@ -106,9 +108,10 @@ class PieceEncoder:
             text = key.decode("utf-8", "surrogatepass")
             plain = _PLAIN_WORD.fullmatch(text) if self.folds_case else None
         else:
-            if key[:1] == "\n":
-                return ["\n", *(self._parts(key[1:], letters) if len(key) > 1 else [])]
-            text, plain = key, _PLAIN_CHUNK.fullmatch(key)
+            if key[:1] == "\n":  # a line end stands alone, and no space is behind it
+                return ["\n", *(self._parts(_FIRST + key[1:], letters) if len(key) > 1 else [])]
+            text = key[1:] if key[:1] == _FIRST else " " + key
+            plain = _PLAIN_CHUNK.fullmatch(text)
         if not plain:
             return [text]
         word, marks = plain.groups()
@@ -123,8 +126,12 @@ class PieceEncoder:
         if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or _RARE.search(text):
             return None
         chunks = text.replace("\n", " \n").split(" ")
-        # a space belongs to the word behind it; a line end stands alone
-        return [c if i == 0 or c[:1] == "\n" else " " + c for i, c in enumerate(chunks) if i or c]
+        # a cut stands for itself with the space in front, but for the first and line ends
+        if chunks[0][:1] not in ("", "\n"):
+            chunks[0] = _FIRST + chunks[0]
+        elif not chunks[0]:
+            del chunks[0]
+        return chunks
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """One array of 32-bit ids per text; a NULL text is empty."""

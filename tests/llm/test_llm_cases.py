@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from heddle.llm import (
-    fingerprints, lm_scoring, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, secrets_scan, token_files,
+    fingerprints, lm_scoring, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, secrets_scan, token_files, tokens,
 )
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -256,6 +256,19 @@ def ids_of(path, text):
     return library.encode(text or "", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
+def test_cut_texts_have_the_librarys_ids(path):
+    rng = random.Random(1)
+    parts = "a,B,é,ß, ,  ,\n,\n\n, \n,\n ,\t,it's,12,3,$,_,.,Ω,\x00,\x1c,\xa0,<|endoftext|>,the,'ll,\u2003,中,ñ,-".split(",")
+    texts = [None, "", " ", "\n", " a", "a ", "a\n", "\na"] + ["".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(3000)]
+    own, got = tokens.PieceEncoder(path, cached=200), []
+    for a, b in tokens.sub_batches(texts, 2000):
+        got += [ids.tolist() for ids in own.encode(texts[a:b])]
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    assert got == [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
 def test_token_files_hold_the_librarys_ids(spark, docs, empty):
     folder = token_files.write(docs, WORD_BPE, end_id=1)
     got = [tuple(r) for r in token_files.digests(token_files.read(spark, folder)).orderBy("start").collect()]
