@@ -391,6 +391,41 @@ def links(members: DataFrame, slots: int, percent: int = PERCENT) -> DataFrame:
     return dealt.groupBy("slot", "owner", "low", "high").applyInArrow(run, "src long, dst long, n long")
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """Edges (``src``, ``dst``) with the same components: every task replaces its own by stars.
+
+    What is connected within a task hangs on its least node afterwards, so the rounds of
+    the components that follow are few.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(i: int) -> int:
+            while parent.setdefault(i, i) != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        def stars() -> pa.RecordBatch:
+            member = [i for i in parent if parent[i] != i]
+            least = [root(i) for i in member]
+            parent.clear()
+            return pa.RecordBatch.from_arrays([pa.array(least, pa.int64()), pa.array(member, pa.int64())], ["src", "dst"])
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                a, b = root(a), root(b)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+            if len(parent) > BLOCK:
+                yield stars()
+        if parent:
+            yield stars()
+
+    return edges.select("src", "dst").mapInArrow(run, "src long, dst long")
+
+
 def join(
     docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -401,7 +436,7 @@ def join(
     known, freq = frequent(sets)
     entries = int(rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) * (100 - percent) // 100
     lists = postings(docs, known, freq, max(16, entries // BUCKET), width, percent)
-    maybe = cut(candidates(lists, percent), "candidates")
+    maybe = cut(contracted(candidates(lists, percent)), "candidates")
     ends = maybe.select(F.col("src").alias("node")).unionByName(maybe.select(F.col("dst").alias("node"))).distinct()
     groups = connected_components(maybe, ends).withColumnRenamed("node", "sid")
     classes = cut(
@@ -428,7 +463,7 @@ def join(
         tokens_of, "component long, blocks int, block int, sid long, weight long, tokens binary"
     )
     found = cut(links(members, slots, percent), "links")
-    linked = found.filter("dst IS NOT NULL").select("src", "dst")
+    linked = cut(contracted(found.filter("dst IS NOT NULL")), "forest")
     counts = found.filter("n IS NOT NULL").groupBy(F.col("src").alias("sid")).agg(F.sum("n").alias("n_others"))
     ends = linked.select(F.col("src").alias("node")).unionByName(linked.select(F.col("dst").alias("node"))).distinct()
     parts = connected_components(linked, ends).withColumnRenamed("node", "sid")
