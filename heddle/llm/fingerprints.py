@@ -38,6 +38,8 @@ FEATURES = 160
 HASHES = 5
 MARGIN = 0.1
 LEVELS = 1000
+#: Bytes that are walked at once; the arrays for them fit a core's cache.
+CHUNK = 150_000
 
 _PLOGP = np.array([0] + [round(c * np.log2(c) * (1 << 20)) for c in range(1, WINDOW + 1)], np.int64)
 _ODD = np.arange(1, 17, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
@@ -97,7 +99,7 @@ def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def _joined(texts: list[str | None], size: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _joined(texts: list[str | None], size: int = CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Texts as bytes, a few at a time."""
     held, total = [], 0
     for t in texts:
@@ -250,7 +252,7 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     continue
                 text = text.as_py() or ""
                 first = text if first is None else first
-                if held and size >= 2_000_000:
+                if held and 2 * size >= CHUNK:  # each text and its edit
                     yield answered(held, text)
                     held, size = [], 0
                 held.append((key, text))
