@@ -1,21 +1,21 @@
 """Scores of texts under prediction by partial matching, and a unigram baseline.
 
 Spark counts byte sequences of the training texts (``order`` context bytes and the byte
-behind them).  The contexts form a trie from the nearest byte backwards; a context's
-escape probability is that of method C (distinct followers / (all + distinct)), and a
-byte that escapes is predicted by the shorter context without the bytes that the longer
-one has already ruled out.  Since exclusion depends on the context alone, each worker
-flattens the trie into two arrays: the children of every node by byte, and the costs of
-all 256 bytes behind it.  Scoring walks down from the root for all places of many texts
-at once, in numpy.  ``adaptive_bits`` is the other mode: a text's code length under a
-model that starts empty and learns from the text itself.
+behind them).  A context's escape probability is that of method C (distinct followers /
+(all + distinct)), and a byte that escapes is predicted by the shorter context without
+the bytes that the longer one has already ruled out.  What follows a context also follows
+its shorter forms, so what a longer context rules out is known from counts alone, and the
+cost of a sequence takes one look-up per length.  ``adaptive_bits`` is the other mode: a
+text's code length under a model that starts empty and learns from the text itself.
 
 Texts are lower-cased (A-Z), padded in front, and closed by an end mark, both byte 255,
-which no UTF-8 text has.  The trie keeps the ``NODES`` most frequent contexts (2 KB each
-in a worker; a context is never more frequent than its shorter forms, so these are kept
-too).  Places behind other contexts use the longest kept one, so memory is bounded and
-no byte is left out.  All counts are over all training texts.  Words are counted by a
-64-bit hash; ten million distinct words share one with a chance of 3 in a million.
+which no UTF-8 text has.  Every context of the training texts is kept, so the model grows
+with the corpus and is never in one place: contexts of up to ``NEAR - 1`` bytes are
+broadcast, longer ones are dealt by their nearest ``NEAR`` bytes to shards.  Texts are
+put into chunks of some megabytes; a chunk asks each shard once for the costs of its
+distinct sequences and adds them up over its texts.  All counts are over all training
+texts.  Words are counted by a 64-bit hash; ten million distinct words share one with a
+chance of 3 in a million.
 
 Defined cases: a NULL text is empty: one token, the end, and the end mark's cost; with
 no training texts every byte costs the same; repeated rows are scored one by one; an
@@ -25,13 +25,14 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +42,13 @@ from heddle.llm.common import frequent_rows
 from heddle.llm.tokens import sub_batches
 
 ORDER = 5
-NODES = 49_152
+#: Contexts of this many bytes and more are dealt to shards by their nearest bytes.
+NEAR = 3
+#: Sequences of a shard, about; there are at least ``SHARDS``.
+SHARD_ROWS = 1_000_000
+SHARDS = 512
+#: Bytes of the texts that ask for their sequences together.
+CHUNK = 8_000_000
 #: The most frequent words, whose counts are broadcast (16 bytes each); the others are joined.
 BROADCAST_WORDS = 400_000
 END = 255
@@ -134,92 +141,152 @@ def count(train: DataFrame, order: int = ORDER) -> DataFrame:
     return counts.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def trie(counts: DataFrame, order: int = ORDER, nodes: int = NODES) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per context length from 0: sorted keys (context * 256 + byte) and their counts.
-
-    Only the followers of at most ``nodes`` contexts reach the driver.
+class Level(NamedTuple):
+    """Contexts of one length: what a byte costs behind them, as log10."""
+
+    keys: np.ndarray  # context * 256 + byte, sorted
+    logs: np.ndarray  # of their counts
+    n: np.ndarray
+    contexts: np.ndarray
+    total: np.ndarray
+    distinct: np.ndarray
+    bottom: np.ndarray  # of a byte that follows
+    escape: np.ndarray
+    below: np.ndarray  # bottom of the next shorter context without what follows this one
+    escape_below: np.ndarray
+
+
+def level(keys: np.ndarray, n: np.ndarray, length: int, shorter: Level | None) -> Level:
+    """The contexts of ``length`` bytes, from sorted keys and counts and the level below."""
+    contexts, first = np.unique(keys >> 8, return_index=True)
+    sums = lambda x: np.add.reduceat(x, first) if len(x) else np.zeros(0, np.int64)
+    total, distinct = sums(n), np.diff(np.append(first, len(keys)))
+    bottom = np.log10(total + distinct)
+    below, escape_below = np.zeros(len(contexts)), np.zeros(len(contexts))
+    if shorter is not None and len(contexts):
+        shared = sums(shorter.n[np.searchsorted(shorter.keys, keys & ((1 << 8 * length) - 1))])
+        parent = np.searchsorted(shorter.contexts, contexts & ((1 << 8 * (length - 1)) - 1))
+        left, fresh = shorter.total[parent] - shared, shorter.distinct[parent] - distinct
+        below = np.log10(np.maximum(left + fresh, 1))
+        escape_below = np.where(left > 0, np.log10(np.maximum(fresh, 1)) - below, 0)
+    return Level(keys, np.log10(n), n, contexts, total, distinct, bottom, np.log10(distinct) - bottom, below, escape_below)
+
+
+def _found(among: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``asked`` in sorted values, and whether they are there."""
+    if not len(among):
+        return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+    at = np.minimum(np.searchsorted(among, asked), len(among) - 1)
+    return at, among[at] == asked
+
+
+def costs(levels: list[Level], asked: np.ndarray) -> np.ndarray:
+    """log10 probability of each byte behind its context; ``asked``: context * 256 + byte, sorted.
+
+    ``levels`` are those of lengths from 0, with all contexts that the asked ones end in.
     """
-    pairs = counts.filter(F.col("kind") <= order).select(
-        F.col("kind").alias("length"), "key", "n", F.shiftright("key", 8).alias("context")
-    )
-    sizes = cut(pairs.groupBy("length", "context").agg(F.sum("n").alias("total")), "contexts")
-    kept = frequent_rows(sizes, "total", nodes).select("length", "context")
-    rows = pairs.join(kept, ["length", "context"], "left_semi").select("length", "key", "n").toPandas().sort_values("key")
-    of = [rows[rows["length"] == k] for k in range(order + 1)]
-    return [(r["key"].to_numpy(np.int64), r["n"].to_numpy(np.int64)) for r in of]
-
-
-def costs(levels: list[tuple[np.ndarray, np.ndarray]], contexts: np.ndarray, length: int) -> np.ndarray:
-    """log10 probabilities of all 256 bytes behind each context of ``length`` bytes."""
-    m = len(contexts)
-    out, escape = np.zeros((m, 256)), np.zeros(m)
-    open_ = np.ones((m, 256), bool)
-    for k in range(length, -1, -1):
-        keys, n = levels[k]
-        short = contexts & ((1 << 8 * k) - 1)
-        own, place = np.unique(short, return_inverse=True)
-        first, last = np.searchsorted(keys, own << 8), np.searchsorted(keys, (own + 1) << 8)
-        table = np.zeros((len(own), 256))
-        at = np.repeat(np.arange(len(own)), last - first)
-        index = np.concatenate([np.arange(a, b) for a, b in zip(first, last)]) if len(at) else np.zeros(0, int)
-        table[at, keys[index] & 255] = n[index]
-        dense = table[place] * open_
-        total, distinct = dense.sum(1), (dense > 0).sum(1)
-        seen = dense > 0
-        bottom = np.where(total > 0, total + distinct, 1)
-        out = np.where(seen, escape[:, None] + np.log10(np.where(seen, dense, 1) / bottom[:, None]), out)
-        escape += np.where(total > 0, np.log10(np.maximum(distinct, 1) / bottom), 0)
-        open_ &= ~seen
-    left = open_.sum(1)
-    return np.where(open_, (escape - np.log10(np.maximum(left, 1)))[:, None], out).astype(np.float32)
-
-
-def flatten(levels: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Children of every node by the next older byte (0: none), and costs by byte, both flat."""
-    blocks, seen, first, made = [costs(levels, np.zeros(1, np.int64), 0)], [np.zeros(1, np.int64)], [0], 1
-    links: list[tuple[np.ndarray, np.ndarray]] = []
-    for k in range(1, len(levels)):
-        own = np.unique(levels[k][0] >> 8)
-        parent = first[-1] + np.searchsorted(seen[-1], own & ((1 << 8 * (k - 1)) - 1))
-        links.append((parent * 256 + (own >> 8 * (k - 1)), np.arange(made, made + len(own))))
-        blocks += [costs(levels, own[a : a + 4096], k) for a in range(0, len(own), 4096)]
-        seen.append(own)
-        first.append(made)
-        made += len(own)
-    children = np.zeros(made * 256, np.int32)
-    for at, node in links:
-        children[at] = node
-    return children, np.concatenate(blocks).ravel()
-
-
-_FLAT: dict[str, tuple] = {}
-
-
-def _flat(name: str, levels: list) -> tuple[np.ndarray, np.ndarray]:
-    """The worker's flattened model; it holds one at a time."""
-    if name not in _FLAT:
-        _FLAT.clear()
-        _FLAT[name] = flatten(levels)
-    return _FLAT[name]
-
-
-def text_scores(texts: list[bytes], children: np.ndarray, rows: np.ndarray, order: int) -> np.ndarray:
-    """log10 probability of each text."""
-    pad = bytes([END]) * order
-    data = np.frombuffer(b"".join(pad + t + bytes([END]) for t in texts), np.uint8).astype(np.int32)
-    lengths = np.array([len(t) + 1 for t in texts], np.int64)
-    ends = np.cumsum(lengths + order)
-    node = np.zeros(len(data) - order, np.int32)
-    walking = np.arange(order, len(data), dtype=np.int32)  # places that may go deeper
-    at = node
-    for k in range(1, order + 1):
-        deeper = children[at * 256 + data[walking - k]]
-        going = deeper > 0
-        walking, at = walking[going], deeper[going]
-        node[walking - order] = at
-    cost = rows[node * 256 + data[order:]].astype(np.float64)
-    run = np.concatenate([[0.0], np.cumsum(cost)])  # a text starts behind its padding
-    return run[ends - order] - run[ends - lengths - order]
+    out = np.zeros(len(asked))
+    open_, inside = np.ones(len(asked), bool), np.zeros(len(asked), bool)  # inside: a longer context was there
+    below, escape_below = np.zeros(len(asked)), np.zeros(len(asked))
+    for k in range(len(levels) - 1, -1, -1):
+        own, key = levels[k], asked & ((1 << 8 * (k + 1)) - 1)
+        at, seen = _found(own.contexts, key >> 8)
+        place, follows = _found(own.keys, key)
+        hit, miss = np.flatnonzero(open_ & follows), np.flatnonzero(open_ & seen & ~follows)
+        out[hit] += own.logs[place[hit]] - np.where(inside[hit], below[hit], own.bottom[at[hit]])
+        out[miss] += np.where(inside[miss], escape_below[miss], own.escape[at[miss]])
+        open_[hit] = False
+        inside |= seen
+        if len(own.contexts):
+            below, escape_below = own.below[at], own.escape_below[at]
+    ruled_out = int(levels[0].distinct[0]) if len(levels[0].contexts) else 0
+    out[open_] -= math.log10(max(256 - ruled_out, 1))
+    return out
+
+
+def _shard(key, shards: int):
+    """Shard of a key of at least ``NEAR`` context bytes, by the nearest ones; for arrays and columns."""
+    return ((((key // 256) % (1 << 8 * NEAR)) * 2654435761) % (1 << 32)) // 256 % shards
+
+
+def _levels(base: list[Level], kinds: np.ndarray, keys: np.ndarray, n: np.ndarray, order: int) -> list[Level]:
+    """``base`` and the longer levels of unsorted counts."""
+    out = list(base)
+    for k in range(len(base), order + 1):
+        own = np.flatnonzero(kinds == k)
+        own = own[np.argsort(keys[own])]
+        out.append(level(keys[own], n[own], k, out[-1] if out else None))
+    return out
+
+
+def _asking(docs: DataFrame, order: int, shards: int, size: int) -> DataFrame:
+    """Rows of ``docs`` with their ``chunk``; and per chunk and ``shard`` a row with its distinct ``keys``."""
+    schema = T.StructType([
+        *[T.StructField(f.name, f.dataType) for f in docs.schema], T.StructField("chunk", T.LongType()), T.StructField("shard", T.LongType()),
+        T.StructField("keys", T.BinaryType()),
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held, bytes_ = TaskContext.get().partitionId() << 32, [], 0
+        types: list[pa.DataType] = []
+
+        def asked() -> pa.RecordBatch:
+            keys = np.unique(np.concatenate(held)).astype(np.int64)
+            shard = _shard(keys, shards)
+            by = np.argsort(shard, kind="stable")
+            own, first = np.unique(shard[by], return_index=True)
+            parts = [p.tobytes() for p in np.split(keys[by], first[1:])]
+            return pa.RecordBatch.from_arrays([
+                *[pa.nulls(len(own), t) for t in types], pa.array(np.full(len(own), chunk)), pa.array(own), pa.array(parts, pa.binary()),
+            ], schema.names)
+
+        for batch in batches:
+            types = [c.type for c in batch.columns]
+            texts = batch.column(1).to_pylist()
+            for a, b in sub_batches(texts):
+                key, lengths = _sequences([lowered(t) for t in texts[a:b]], order)
+                held.append(np.unique(key))
+                bytes_ += int(lengths.sum())
+                yield pa.RecordBatch.from_arrays([
+                    *[c.slice(a, b - a) for c in batch.columns], pa.array(np.full(b - a, chunk)),
+                    pa.nulls(b - a, pa.int64()), pa.nulls(b - a, pa.binary()),
+                ], schema.names)
+                if bytes_ >= size:
+                    yield asked()
+                    chunk, held, bytes_ = chunk + 1, [], 0
+        if held:
+            yield asked()
+
+    return docs.mapInArrow(run, schema)
+
+
+def _priced(asked: DataFrame, pairs: DataFrame, order: int, shards: int) -> DataFrame:
+    """Rows (``chunk``, ``keys``, ``costs``) for the asked keys of each chunk and shard."""
+    near = pairs.filter(F.col("kind") < NEAR).toPandas()
+    columns = lambda t: [np.asarray(t[c], np.int64) for c in ("kind", "key", "n")]
+    base = _levels([], *columns(near), min(order, NEAR - 1))
+    shared = asked.sparkSession.sparkContext.broadcast(base)
+
+    def price(counts: pa.Table, wanted: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(k, np.int64) for k in wanted["keys"].to_pylist()]
+        done = []
+        if parts:
+            keys, place = np.unique(np.concatenate(parts), return_inverse=True)
+            cost = costs(_levels(shared.value, *columns(counts), order), keys).astype(np.float32)[place]
+            done = [c.tobytes() for c in np.split(cost, np.cumsum([len(p) for p in parts])[:-1])]
+        return pa.table({"chunk": wanted["chunk"], "keys": wanted["keys"], "costs": pa.array(done, pa.binary())})
+
+    key = F.col("key")
+    number = F.expr(f"(((shiftright(key, 8) % {1 << 8 * NEAR}L) * 2654435761L) % {1 << 32}L) div 256 % {shards}L")
+    dealt = pairs.filter(F.col("kind") >= NEAR).select(number.alias("shard"), "kind", key, "n")
+    return dealt.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(price, "chunk long, keys binary, costs binary")
+
+
+def text_scores(texts: list[bytes], keys: np.ndarray, cost: np.ndarray, order: int) -> np.ndarray:
+    """log10 probability of each text, from the costs of its sequences by sorted keys."""
+    key, lengths = _sequences(texts, order)
+    found = cost[np.searchsorted(keys, key.astype(np.int64))].astype(np.float64)
+    return np.add.reduceat(found, np.cumsum(lengths) - lengths)
 
 
 def adaptive_bits(text: str | None, order: int = ORDER) -> float:
@@ -249,27 +316,34 @@ def adaptive_bits(text: str | None, order: int = ORDER) -> float:
 
 
 def score(
-    docs: DataFrame, training: Column, order: int = ORDER, nodes: int = NODES, broadcast_words: int = BROADCAST_WORDS,
+    docs: DataFrame, training: Column, order: int = ORDER, nodes: int | None = None, broadcast_words: int = BROADCAST_WORDS,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Scores of all rows of ``docs``, learning from those where ``training`` holds.
 
     ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``
-    and ``score`` (log10 probabilities), ``n_bytes`` (with the end mark).
+    and ``score`` (log10 probabilities), ``n_bytes`` (with the end mark).  Every context
+    counts; ``nodes``, if given, keeps the most frequent ones only.
     """
     if not 1 <= order <= 6:
         raise ValueError("contexts of one to six bytes")
     known = F.coalesce(training, F.lit(False))
     docs = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).cast("string").alias("text"), (~known).alias("held_out"))
     counts = cut(count(docs.filter("NOT held_out"), order), "counts")
-    levels = trie(counts, order, nodes)
+    pairs = counts.filter(F.col("kind") <= order)
+    if nodes is not None:  # a context is never more frequent than its shorter forms, so these are kept too
+        pairs = pairs.withColumn("context", F.shiftright("key", 8))
+        sizes = cut(pairs.groupBy("kind", "context").agg(F.sum("n").alias("total")), "contexts")
+        pairs = pairs.join(frequent_rows(sizes, "total", nodes).select("kind", "context"), ["kind", "context"], "left_semi")
+    shards = max(SHARDS, counts.count() // SHARD_ROWS)
+    asking = cut(_asking(docs, order, shards, CHUNK), "chunks")
+    priced = _priced(asking.filter("shard IS NOT NULL").select("chunk", "shard", "keys"), pairs, order, shards)
     words = counts.filter(F.col("kind") == WORDS).select("key", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     floor = math.log10(total + distinct + 1)
     common = frequent_rows(words, "n", broadcast_words).toPandas().sort_values("key")
     keys, logs_of = common["key"].to_numpy(np.int64), np.log10(common["n"].to_numpy(np.int64) + 1.0)
-    shared = docs.sparkSession.sparkContext.broadcast((levels, keys, logs_of))
-    name = uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast((keys, logs_of))
     longs = T.ArrayType(T.LongType())
     schema = T.StructType([
         T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("held_out", T.BooleanType()),
@@ -278,41 +352,43 @@ def score(
         T.StructField("times", longs),
     ])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels_, keys_, logs_ = shared.value
-        children, rows = _flat(name, levels_)
+    def run(rows: pa.Table, prices: pa.Table) -> pa.Table:
+        keys_, logs_ = shared.value
+        joined = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in prices[c].to_pylist()])
+        asked, cost = joined("keys", np.int64), joined("costs", np.float32)
+        by = np.argsort(asked)
+        asked, cost = asked[by], cost[by]
         known: dict[bytes, float] = {}  # NaN: not among the common words
 
         def look_up(new: list[bytes]) -> None:
-            asked = np.array([word_key(w) for w in new], np.int64)
+            asked_words = np.array([word_key(w) for w in new], np.int64)
             if len(keys_):
-                at = np.minimum(np.searchsorted(keys_, asked), len(keys_) - 1)
-                known.update(zip(new, np.where(keys_[at] == asked, logs_[at], np.nan).tolist()))
+                at = np.minimum(np.searchsorted(keys_, asked_words), len(keys_) - 1)
+                known.update(zip(new, np.where(keys_[at] == asked_words, logs_[at], np.nan).tolist()))
             else:
                 known.update(dict.fromkeys(new, math.nan))
 
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in sub_batches(texts, 2_000_000):
-                low = [lowered(t) for t in texts[a:b]]
-                split = [[*t.split(), b""] for t in low]
-                if len(known) > 500_000:
-                    known.clear()
-                look_up(list({w for s in split for w in s if w not in known}))
-                values = [np.array([known[w] for w in s]) for s in split]
-                others = [np.isnan(v) for v in values]
-                rare = [Counter(s[i] for i in np.flatnonzero(o).tolist()) for s, o in zip(split, others)]
-                n_tokens = np.array([len(s) for s in split], np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(n_tokens),
-                    pa.array(n_tokens - np.array([int(o.sum()) for o in others], np.int64)),
-                    pa.array(np.array([np.nansum(v) for v in values])), pa.array(text_scores(low, children, rows, order)),
-                    pa.array(np.array([len(t) + 1 for t in low], np.int64)),
-                    pa.array([[word_key(w) for w in c] for c in rare], pa.list_(pa.int64())),
-                    pa.array([list(c.values()) for c in rare], pa.list_(pa.int64())),
-                ], schema.names)
-
-    scored = docs.select("doc_id", "text", "held_out").mapInArrow(run, schema)
+        texts, out = rows["text"].to_pylist(), []
+        for a, b in sub_batches(texts, 2_000_000):
+            low = [lowered(t) for t in texts[a:b]]
+            split = [[*t.split(), b""] for t in low]
+            look_up(list({w for s in split for w in s if w not in known}))
+            values = [np.array([known[w] for w in s]) for s in split]
+            others = [np.isnan(v) for v in values]
+            rare = [Counter(s[i] for i in np.flatnonzero(o).tolist()) for s, o in zip(split, others)]
+            n_tokens = np.array([len(s) for s in split], np.int64)
+            out.append(pa.Table.from_arrays([
+                rows["doc_id"].slice(a, b - a), rows["held_out"].slice(a, b - a), pa.array(n_tokens),
+                pa.array(n_tokens - np.array([int(o.sum()) for o in others], np.int64)),
+                pa.array(np.array([np.nansum(v) for v in values])), pa.array(text_scores(low, asked, cost, order)),
+                pa.array(np.array([len(t) + 1 for t in low], np.int64)),
+                pa.array([[word_key(w) for w in c] for c in rare], pa.list_(pa.int64())),
+                pa.array([list(c.values()) for c in rare], pa.list_(pa.int64())),
+            ], schema.names))
+        return pa.concat_tables(out)
+
+    texts = asking.filter("shard IS NULL").select("chunk", "doc_id", "text", "held_out")
+    scored = texts.groupBy("chunk").cogroup(priced.groupBy("chunk")).applyInArrow(run, schema)
     scored = cut(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
     pairs = scored.select("_row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
         "_row", F.col("w.rare").alias("key"), F.col("w.times").alias("times")

@@ -235,6 +235,19 @@ def test_scores_match_a_plain_model(docs, empty, order, common):
     assert uniform.score == pytest.approx(-4 * np.log10(256), rel=1e-5) and uniform.train_tokens == 0
 
 
+def test_every_context_of_a_large_corpus_counts(spark, monkeypatch):
+    rng = random.Random(12)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(1500)) for _ in range(24)]
+    rows = [(k, t) for k, t in enumerate(noise)] + [(100 + k, t[300:900]) for k, t in enumerate(noise)]
+    assert len({t[i : i + k] for t in noise for k in range(1, 6) for i in range(len(t) - k)}) > 49_152
+    monkeypatch.setattr(lm_scoring, "CHUNK", 5000, raising=False)
+    got = lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), F.col("doc_id") < 100).collect()
+    model = brute_ppm(noise, lm_scoring.ORDER)
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.score == pytest.approx(model(dict(rows)[r.doc_id]), rel=1e-4)
+
+
 def test_adaptive_code_length_falls_with_repeats():
     assert lm_scoring.adaptive_bits("") == 8
     once, twice = lm_scoring.adaptive_bits(prose(8, 40)), lm_scoring.adaptive_bits(prose(8, 40) * 2)
