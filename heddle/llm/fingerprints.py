@@ -9,8 +9,8 @@ common, less what chance and a margin explain, as a share of the most there coul
 each filter of the shorter chain counts with its best partner.
 
 Defined cases: a NULL text is empty and has the empty fingerprint, which is like another
-empty one and like nothing else; a text below 64 bytes is one feature; a text of fewer
-than 64 windows has its rarest window; rows of equal id follow by text; NULL ids are the
+empty one and like nothing else; a text below 64 bytes is one feature; a text in which no
+window has 16 points (few windows, or a short period) has its rarest window; rows of equal id follow by text; NULL ids are the
 last; a lone document is its own successor; an empty table gives an empty result; other
 columns are ignored.
 """
@@ -129,7 +129,8 @@ def features(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
         inside = valid[first] & (owner[first] == owner[first + WINDOW - 1])
         full = low[inside] & 0xFFFFFFFF
     picked = np.flatnonzero(np.bincount(full, minlength=len(data)) >= POPULAR) if len(data) else full
-    few = np.flatnonzero((lengths >= WINDOW) & (lengths < 2 * WINDOW - 1))  # fewer than 64 windows
+    none = np.bincount(owner[picked], minlength=len(texts)) == 0
+    few = np.flatnonzero((lengths >= WINDOW) & none)  # no window with enough points
     single = [int(line[starts[i] : starts[i] + lengths[i]].min() & 0xFFFFFFFF) for i in few]
     picked = np.sort(np.concatenate([picked, np.array(single, np.int64)]))
     windows = data[(picked - (WINDOW - 1))[:, None] + np.arange(WINDOW)].view(np.uint64) if len(picked) else np.zeros((0, 8), np.uint64)

@@ -363,6 +363,18 @@ def test_fingerprints_of_edits(docs, empty):
     assert alone.near_next == 1
 
 
+def test_only_the_empty_text_has_no_feature():
+    rank = np.arange(fingerprints.LEVELS + 1)
+    texts = [prose(5, 100)[:n] for n in range(1, 301)] + [("abcdefghijklmno"[:p] * 400)[: 700 + p] for p in range(1, 16)]
+    chains = fingerprints.fingerprints([None, "", *texts], rank)
+    assert [len(c) for c in chains[:2]] == [0, 0] and all(len(c) for c in chains[2:])
+    other = fingerprints.fingerprints([prose(77, 100)[:135]], rank)[0]
+    assert fingerprints.likeness(chains[2 + 134], other) < 0.5
+    for n, text in enumerate(texts, 1):  # a text's features do not depend on its neighbours in the batch
+        if n % 20 == 0:
+            assert fingerprints.likeness(chains[1 + n], fingerprints.fingerprints([text], rank)[0]) == 1
+
+
 def test_packing_is_whole(docs, empty):
     got = packing.pack(docs, BYTE_BPE, end_id=0).collect()
     windows, parts = {}, {}
