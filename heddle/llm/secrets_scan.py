@@ -2,8 +2,12 @@
 
 The patterns give the base spans.  The values they find are samples of random strings,
 long plain words are samples of ordinary identifiers; one first-order Markov model is
-counted from each.  A run of key characters outside the base spans becomes a further
-span if the log-likelihood ratio of the two models reaches ``min_ratio``.  Only
+counted from each.  A plain-looking word is no sample if it is a found value elsewhere,
+or if the models of a first round call it random; copies of a word count once.  Every
+run of key characters outside the base spans, plain-looking or not, becomes a further
+span if the log-likelihood ratio of the two models reaches ``min_ratio``.  Both models
+are conditioned on the classes of characters (upper, lower, digit, other) that the run
+has, since a key of lower-case letters only was drawn from these alone.  Only
 DataFrame functions are used: what a model needs are 67 x 67 counts.
 
 Defined cases: a NULL text is empty; a text without matches has empty lists; with no
@@ -14,6 +18,7 @@ one by one; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,10 +31,12 @@ ASSIGN = (
 )
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
+#: Classes of key characters; a bit each.
+CLASSES = ("[A-Z]", "[a-z]", "[0-9]", "[+/_=-]")
 #: Characters of keys, in the order of the models' tables.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = r"[A-Za-z0-9+/_=-]"
-#: Plain words and numbers, as one finds them in prose and in code.
+#: Plain words and numbers, as one finds them in prose and in code; a source of samples only.
 ORDINARY = r"^[A-Z]?[a-z]+$|^[a-z]+(_[a-z]+)+$|^[A-Z]+$|^[0-9]+$"
 KINDS = ("assign", "access", "hex", "markov")
 MIN_RUN = 16
@@ -100,39 +107,59 @@ def _pairs(samples: DataFrame) -> DataFrame:
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratio of every pair of characters, random against ordinary.
 
-    ``samples``: ``value`` and ``random`` (boolean label).  At most 2 x 68 x 67 counts
+    Then, for every set of classes, what a character before any of them adds if only
+    these can follow.  ``samples``: ``value`` and ``random`` (boolean label).  At most 2 x 68 x 67 counts
     reach the driver.  Counts are smoothed by one half.
     """
     places = {c: i for i, c in enumerate(f" {ALPHABET}")}
     known = samples.filter(F.col("value").rlike(f"^{RUN}+$") & F.col("random").isNotNull())
     counts = {(r["random"], r["pair"]): r["n"] for r in _pairs(known).collect()}
-    table = []
+    table, given = [], []
     for a in places:
         seen = {k: sum(counts.get((k, a + b), 0) for b in ALPHABET) for k in (True, False)}
         for b in ALPHABET:
             chance = {k: (counts.get((k, a + b), 0) + 0.5) / (seen[k] + 0.5 * len(ALPHABET)) for k in seen}
             table.append(math.log(chance[True] / chance[False]))
-    return table
+    for classes in range(1 << len(CLASSES)):
+        own = [b for b in ALPHABET if any(classes >> k & 1 and re.match(c, b) for k, c in enumerate(CLASSES))] or ALPHABET
+        for a in places:
+            seen = {k: sum(counts.get((k, a + b), 0) for b in ALPHABET) for k in (True, False)}
+            follow = {k: sum(counts.get((k, a + b), 0) + 0.5 for b in own) / (seen[k] + 0.5 * len(ALPHABET)) for k in seen}
+            given.append(math.log(follow[False] / follow[True]))
+    return table + given
 
 
 def ratio(value: Column, table: list[float]) -> Column:
     """Log-likelihood ratio of a string of key characters under a trained table."""
     numbers = F.split(F.lit(",".join(f"{x:.6f}" for x in table)), ",").cast("array<double>")
-    padded, width = F.concat(F.lit(" "), value), len(ALPHABET)
-    place = lambda i: F.instr(F.lit(f" {ALPHABET}"), F.substr(padded, i, F.lit(1)))
-    return F.aggregate(
-        F.sequence(F.lit(1), F.length(value)),
-        F.lit(0.0),
-        lambda acc, i: acc + F.element_at(numbers, ((place(i) - 1) * width + place(i + 1) - 1).cast("int")),
-    )
+    width, rows = len(ALPHABET), len(ALPHABET) + 1
+    place = lambda c: F.instr(F.lit(f" {ALPHABET}"), c)
+    at = lambda i: F.element_at(numbers, i.cast("int"))
+    classes = sum((F.when(value.rlike(c), 1 << k).otherwise(0) for k, c in enumerate(CLASSES)), F.lit(0))
+    return bind(rows * width + classes * rows, lambda given: F.aggregate(
+        F.split(value, ""),
+        F.struct(F.lit(1).alias("at"), F.lit(0.0).alias("sum")),
+        lambda acc, c: F.struct(
+            place(c).alias("at"),
+            (acc["sum"] + at((acc["at"] - 1) * width + place(c) - 1) + at(given + acc["at"])).alias("sum"),
+        ),
+        lambda acc: acc["sum"],
+    ))
 
 
 def samples(found: DataFrame) -> DataFrame:
-    """Labelled samples of scanned texts: values of base spans, and plain words among the runs."""
+    """Labelled samples of scanned texts: values of base spans, and other plain words among the runs."""
     value = F.explode("base.value").alias("value")
     random = found.select(F.lit(True).alias("random"), value)
-    plain = found.select(F.lit(False).alias("random"), F.explode("free.value").alias("value"))
-    return random.unionByName(plain.filter(F.col("value").rlike(ORDINARY)))
+    plain = found.select(F.explode("free.value").alias("value")).filter(F.col("value").rlike(ORDINARY)).distinct()
+    plain = plain.join(random.select("value"), "value", "left_anti").select(F.lit(False).alias("random"), "value")
+    return random.unionByName(plain)
+
+
+def trusted(labelled: DataFrame, min_ratio: float) -> DataFrame:
+    """Samples without the plain words that a first round of the models calls random."""
+    table = train(labelled)
+    return labelled.filter(F.when(F.col("random"), F.lit(True)).otherwise(ratio(F.col("value"), table) < min_ratio))
 
 
 def scan(
@@ -149,11 +176,8 @@ def scan(
     rows = docs.select(kept.alias("row"), base_spans(text).alias("base"), runs(text, least).alias("runs"))
     free = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
     found = cut(rows.select("row", "base", free.alias("free")), "scanned")
-    table = train(labelled if labelled is not None else samples(found))
-    # plain words are never secrets, so only the rest is scored
-    added = F.filter(
-        F.filter("free", lambda r: ~r["value"].rlike(ORDINARY)), lambda r: ratio(r["value"], table) >= min_ratio
-    )
+    table = train(labelled if labelled is not None else trusted(cut(samples(found), "samples"), min_ratio))
+    added = F.filter("free", lambda r: ratio(r["value"], table) >= min_ratio)
     return found.select("row", "base", F.sort_array(F.concat("base", added)).alias("spans"))
 
 

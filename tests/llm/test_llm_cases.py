@@ -319,6 +319,22 @@ def test_random_strings_are_told_from_identifiers(spark):
     assert re.fullmatch("markov:\\d+:\\d+", spans[1000]) and all("markov" not in spans[k] for k in range(400))
 
 
+def test_random_strings_in_one_case_are_found(spark):
+    rng = random.Random(14)
+    draw = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    parts = "tion ment able over inter ness ship hood grad week back quick just view form exam zero lock".split()
+    plain = ["".join(rng.choice(parts) for _ in range(5)) for _ in range(400)]
+    rows = [(k, f"{w} and {w.upper()} token = {draw(lower + upper + '0123456789', 40)}") for k, w in enumerate(plain)]
+    keys = [draw(lower, 16) for _ in range(20)] + [draw(upper, 32) for _ in range(20)]
+    rows += [(1000 + k, f"call {key} here") for k, key in enumerate(keys)] + [(2000 + k, f"call {keys[0]} here") for k in range(300)]
+    spans = secrets_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).select("row", secrets_scan.listed(F.col("spans")).alias("s"))
+    found = {r["row"]: r.s for r in spans.collect()}
+    hit = [found[1000 + k] == f"markov:5:{5 + len(key)}" for k, key in enumerate(keys)]
+    assert sum(hit[:20]) >= 12 and all(hit[20:])  # of 16 letters, some are too short to reach the ratio
+    assert all("markov" not in found[k] for k in range(400)) and all(found[2000 + k] for k in range(300))
+
+
 def test_redaction(spark):
     row = spark.createDataFrame([("é token=abcdefgh1234 x", )], "text string").withColumn("spans", secrets_scan.base_spans(F.col("text")))
     assert row.select(secrets_scan.redact(F.col("text"), F.col("spans"))).first()[0] == "é <secret> x"
