@@ -109,7 +109,7 @@ def surroundings(text: str, spans: list[tuple[int, int, int, str]], around: int
             (term_key(m[0]), m.start(), m.end()) for m in before + after
             if not any(a < m.end() and m.start() < b for _, a, b, _ in spans)
         ]
-        place = min((w[0] for w in words), default=0)  # near copies of a text mostly share it
+        place = int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(np.array([w[0] for w in words], np.int64).tobytes()))))
         out += [(entity, *w, place) for w in words]
     return out
 

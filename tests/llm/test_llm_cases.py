@@ -466,6 +466,17 @@ def test_disclosing_words_are_found(spark):
     assert not any(r.added for r in pii.scan(copies).collect())
 
 
+def test_surroundings_that_share_a_word_are_not_the_same(spark):
+    rng = random.Random(8)
+    low = min((f"stop{k}" for k in range(20_000)), key=pii.term_key)  # the least hash of all words
+    fill = lambda n: " ".join(f"word{rng.randrange(10**6)}" for _ in range(n))
+    rows = [(k, f"{fill(9)} {low} Zorblatt z.blatt@mail.example {low} {fill(9)}") for k in range(8)]
+    rows += [(100 + k, f"{fill(20)} {low} {fill(5)}") for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marked = {r["row"]: {t[s.start : s.end] for s in r.added} for r in pii.scan(df).collect() for t in [dict(rows)[r["row"]]]}
+    assert all(marked[k] == {"Zorblatt"} for k in range(8)) and not any(marked[k] for k in range(100, 400))
+
+
 def test_mix_reaches_its_targets(spark, docs, empty):
     got = mixing.mix(docs).collect()
     sizes = sorted(len(words(t)) for _, t in TEXTS)
