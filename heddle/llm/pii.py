@@ -1,13 +1,15 @@
 """Personal data: fixed patterns, and terms that disclose an entity by co-occurrence.
 
 The patterns give the base spans; their normalised values are the protected entities.
-For the words around every mention Spark counts, over all documents, how many hold the
-entity, the word, and the word near the entity.  A word discloses an entity by its
+Spark counts, over all documents, how many hold the entity, the word, and both, wherever
+the two stand.  A word discloses an entity by its
 pointwise mutual information with it as a share of the entity's own information,
 log(p(e,t) / (p(e) p(t))) / -log p(e): 1 means that the word occurs with this entity
-only.  Words from ``GENERALISE`` on are generalised to their shape near that entity, from
-``REMOVE`` on they are removed.  Mentions in equal surroundings count as one when the
-support of a pair is counted, so copies of one document prove nothing.
+only.  Words from ``GENERALISE`` on are generalised to their shape wherever they occur in
+a document that holds the entity, from ``REMOVE`` on they are removed.  When the support
+of a pair is counted, documents are one if the ``AROUND`` words on each side of the
+entity and of the word are equal, so copies of one document prove nothing.  Entities of
+fewer documents than the support cannot have it, and are not paired.
 
 Defined cases: a NULL text is empty; a text without personal data has no spans at all;
 repeated rows are scanned one by one and add to the counts; an empty table gives an
@@ -93,59 +95,87 @@ def term_key(word: str) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass")))))
 
 
-def surroundings(text: str, spans: list[tuple[int, int, int, str]], around: int = AROUND) -> list[tuple[int, int, int, int, int]]:
-    """(entity, term, start, end, place) of the words next to each span; ``place`` names the surroundings."""
-    out = []
-    for kind, start, end, value in spans:
+def words_of(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(term, start, end) of all words that no span touches."""
+    covered = bytearray(len(text))
+    for a, b in spans:
+        covered[a:b] = b"\1" * (b - a)
+    return [(term_key(m[0]), m.start(), m.end()) for m in _TERM.finditer(text) if covered.find(1, m.start(), m.end()) < 0]
+
+
+def surroundings(text: str, spans: list[tuple[int, int, int, str]], around: int = AROUND) -> list[tuple[int, int]]:
+    """(entity, place) of each entity; ``place`` names the words on both sides of a mention."""
+    words = words_of(text, [s[1:3] for s in spans])
+    terms, starts = np.array([w[0] for w in words], np.int64), np.array([w[1] for w in words], np.int64)
+    out: dict[int, int] = {}
+    for kind, start, _, value in spans:
         entity = int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(f"{kind}:{value}".encode()))))
-        low, high = max(0, start - 40 * around), min(len(text), end + 40 * around)
-        before = list(_TERM.finditer(text, low, start))[-around:]
-        after = []
-        for m in _TERM.finditer(text, end, high):
-            after.append(m)
-            if len(after) == around:
-                break
-        words = [
-            (term_key(m[0]), m.start(), m.end()) for m in before + after
-            if not any(a < m.end() and m.start() < b for _, a, b, _ in spans)
-        ]
-        place = int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(np.array([w[0] for w in words], np.int64).tobytes()))))
-        out += [(entity, *w, place) for w in words]
-    return out
+        i = int(np.searchsorted(starts, start))
+        place = int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(terms[max(0, i - around) : i + around].tobytes()))))
+        out[entity] = min(out.get(entity, place), place)
+    return list(out.items())
+
+
+def term_places(terms: np.ndarray, around: int = AROUND) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct terms of a text, and a name of the words around the first mention of each."""
+    padded = np.concatenate([np.zeros(around, np.int64), terms, np.zeros(around, np.int64)]).view(np.uint64)
+    sums = np.zeros(len(terms), np.uint64)
+    for k in range(2 * around + 1):
+        mixed = (padded[k : k + len(terms)] + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15 + 2 * k)
+        sums += mixed ^ (mixed >> np.uint64(29))
+    own, first = np.unique(terms, return_index=True)
+    return own, sums[first].view(np.int64)
 
 
 _SPAN = T.ArrayType(T.StructType([
     T.StructField("kind", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
 ]))
-_NEAR = T.ArrayType(T.StructType([
-    T.StructField("entity", T.LongType()), T.StructField("term", T.LongType()), T.StructField("start", T.IntegerType()),
-    T.StructField("end", T.IntegerType()), T.StructField("place", T.LongType()),
-]))
+_ENTITIES = T.ArrayType(T.StructType([T.StructField("entity", T.LongType()), T.StructField("place", T.LongType())]))
 
 
 def mentions(docs: DataFrame, around: int = AROUND) -> DataFrame:
-    """Columns of ``docs`` (text last) with ``base`` spans and the words ``near`` them."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("base", _SPAN), T.StructField("near", _NEAR)])
+    """Columns of ``docs`` (text last) with ``base`` spans and ``entities``; the text is kept where there are any."""
+    schema = T.StructType([*docs.schema.fields, T.StructField("base", _SPAN), T.StructField("entities", _ENTITIES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
-        near = pa.list_(pa.struct([
-            ("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("place", pa.int64()),
-        ]))
+        entity = pa.list_(pa.struct([("entity", pa.int64()), ("place", pa.int64())]))
         for batch in batches:
-            base, words = [], []
+            base, held, texts = [], [], []
             for text in batch.column(batch.num_columns - 1):
                 text = text.as_py()
                 spans = base_spans(text)
                 base.append([dict(zip(("kind", "start", "end"), s)) for s in spans])
-                words.append([
-                    dict(zip(("entity", "term", "start", "end", "place"), w)) for w in (surroundings(text, spans, around) if spans else [])
-                ])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(base, span), pa.array(words, near)], schema.names)
+                held.append([dict(zip(("entity", "place"), e)) for e in (surroundings(text, spans, around) if spans else [])])
+                texts.append(text if spans else None)
+            yield pa.RecordBatch.from_arrays([
+                *batch.columns[:-1], pa.array(texts, batch.columns[-1].type), pa.array(base, span), pa.array(held, entity),
+            ], schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
+def pairs_of(texts: DataFrame, around: int = AROUND) -> DataFrame:
+    """Rows (``_row``, ``entity``, ``term``, ``place``): every word of a row once with each of its entities.
+
+    ``texts``: rows with ``_row``, ``_text``, ``base`` and ``entities``.
+    """
+    names = ("_row", "entity", "term", "place")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text, base, held in zip(*[c.to_pylist() for c in batch.columns]):
+                words = words_of(text, [(s["start"], s["end"]) for s in base])
+                terms, places = term_places(np.array([w[0] for w in words], np.int64), around)
+                for e in held:
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(terms), row)), pa.array(np.full(len(terms), e["entity"])), pa.array(terms),
+                        pa.array(places ^ np.int64(e["place"])),
+                    ], names)
+
+    return texts.select("_row", "_text", "base", "entities").mapInArrow(run, "_row long, entity long, term long, place long")
+
+
 def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Per word (by its hash): the number of rows that hold it, over whole texts."""
 
@@ -181,18 +211,15 @@ def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def disclosures(
-    found: DataFrame, terms: DataFrame, n_docs: int, support: int = SUPPORT, least: float = GENERALISE
+    in_doc: DataFrame, entities: DataFrame, terms: DataFrame, n_docs: int, support: int = SUPPORT, least: float = GENERALISE
 ) -> DataFrame:
     """Pairs (``entity``, ``term``) with their ``disclosure``, from ``least`` on.
 
-    ``found``: rows with ``_row`` and ``near``; ``terms``: documents per word.
+    ``in_doc``: ``pairs_of`` the rows; ``entities`` and ``terms``: documents per entity and word.
     """
-    near = found.select("_row", F.explode("near").alias("w")).select("_row", "w.entity", "w.term", "w.place")
-    in_doc = near.groupBy("_row", "entity", "term").agg(F.min("place").alias("place"))
     # equal surroundings are counted first, so a copied passage is one row from here on
     by_place = in_doc.groupBy("entity", "term", "place").agg(F.count(F.lit(1)).alias("n"))
     pairs = by_place.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("support"))
-    entities = near.groupBy("entity", "_row").agg(F.lit(1).alias("_")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     known = pairs.filter(F.col("support") >= support).join(entities, "entity").join(terms, "term")
     information = -F.log(F.col("n_entity") / float(max(n_docs, 1)))
     shared = F.log(F.col("n_both") * float(n_docs) / (F.col("n_entity") * F.col("n")))
@@ -207,15 +234,33 @@ def scan(
     """Per row of ``docs``: ``row`` (its id, or with ``carry`` the whole row), ``base`` and ``added`` spans."""
     text = quoted(text_col).cast("string").alias("_text")
     kept = F.struct(*[quoted(c) for c in docs.columns]) if carry else quoted(id_col)
-    found = mentions(docs.select(kept.alias("row"), text), around).drop("_text")
+    found = mentions(docs.select(kept.alias("row"), text), around)
     found = cut(found.withColumn("_row", F.monotonically_increasing_id()), "mentions")
-    pairs = disclosures(found, term_counts(docs, text_col), found.count(), support, generalise)
-    words = found.select("_row", F.explode("near").alias("w")).select("_row", "w.entity", "w.term", "w.start", "w.end")
+    asked = found.select("_row", F.explode("entities").alias("e")).select("_row", "e.entity", "e.place")
+    entities = asked.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).filter(F.col("n_entity") >= support)
+    live = asked.join(entities, "entity").groupBy("_row").agg(F.collect_list(F.struct("entity", "place")).alias("entities"))
+    in_doc = cut(pairs_of(found.filter(F.size("base") > 0).drop("entities").join(live, "_row"), around), "pairs")
+    pairs = disclosures(in_doc, entities, term_counts(docs, text_col), found.count(), support, generalise)
     kind = F.when(F.col("disclosure") >= remove, F.lit(KINDS.index("removed"))).otherwise(F.lit(KINDS.index("generalised")))
-    flagged = words.join(pairs, ["entity", "term"]).groupBy("_row", "start", "end").agg(F.max(kind).alias("kind"))
-    added = flagged.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("added"))
-    none = F.array().cast(_SPAN)
-    return found.drop("near").join(added, "_row", "left").select("row", "base", F.coalesce("added", none).alias("added"))
+    flagged = in_doc.join(pairs, ["entity", "term"]).groupBy("_row", "term").agg(F.max(kind).alias("kind"))
+    flagged = flagged.groupBy("_row").agg(F.collect_list(F.struct("term", "kind")).alias("_flagged"))
+
+    @F.pandas_udf(_SPAN)
+    def marked(texts, bases, words):
+        import pandas as pd
+
+        out = []
+        for text, base, own in zip(texts, bases, words):
+            if own is None or not len(own):
+                out.append([])
+                continue
+            kinds = {int(w["term"]): int(w["kind"]) for w in own}
+            spans = [(kinds[t], a, b) for t, a, b in words_of(text, [(s["start"], s["end"]) for s in base]) if t in kinds]
+            out.append([dict(zip(("kind", "start", "end"), s)) for s in sorted(spans)])
+        return pd.Series(out)
+
+    joined = found.drop("entities").join(flagged, "_row", "left")
+    return joined.select("row", "base", marked("_text", "base", "_flagged").alias("added"))
 
 
 def shape(word: str) -> str:

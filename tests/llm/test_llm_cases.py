@@ -477,6 +477,18 @@ def test_surroundings_that_share_a_word_are_not_the_same(spark):
     assert all(marked[k] == {"Zorblatt"} for k in range(8)) and not any(marked[k] for k in range(100, 400))
 
 
+def test_disclosing_words_are_found_anywhere_in_a_document(spark):
+    rng = random.Random(11)
+    fill = lambda n: " ".join(f"common{rng.randrange(30)}" for _ in range(n))
+    rows = [(k, f"Zorblatt {fill(40)} {'x' * 400} {fill(9)} yours z.blatt@mail.example {fill(40)} zorblatt") for k in range(8)]
+    rows += [(100 + k, f"{fill(60)} {'x' * 400} yours {fill(9)}") for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marked = {r["row"]: [t[s.start : s.end] for s in r.added] for r in pii.scan(df).collect() for t in [dict(rows)[r["row"]]]}
+    assert all(marked[k] == ["Zorblatt", "zorblatt"] for k in range(8)) and not any(marked[k] for k in range(100, 400))
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert all("orblatt" not in clean[k] for k in range(8)) and clean[100] == dict(rows)[100]
+
+
 def test_mix_reaches_its_targets(spark, docs, empty):
     got = mixing.mix(docs).collect()
     sizes = sorted(len(words(t)) for _, t in TEXTS)
