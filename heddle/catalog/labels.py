@@ -153,7 +153,7 @@ def h4(spark, sf):
 @query("h5_predict_labels")
 def h5(spark, sf):
     emb = view.emb(spark, sf)
-    predict = lb.train_label_model(emb.filter("batch <> '0'"), "label", max_iter=20)
+    predict = lb.train_label_model(emb.filter("batch <> '0'"), "label")
     clusters = mt.kmeans_labels(emb, 20).select("cell_id", "cluster")
     return r6(lb.predict_labels(emb, predict, clusters), "conf_score", digits=4)
 

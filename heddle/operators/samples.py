@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -166,10 +167,13 @@ def transport_distances(emb: DataFrame, sample: str, cell_type: str, reg: float
 
 
 def fit_sample_mixtures(
-    emb: DataFrame, sample: str, n_components: int = 3, rounds: int = 20, ridge: float = 1e-4
+    emb: DataFrame, sample: str, n_components: int = 3, rounds: int | None = None, ridge: float = 1e-4, tol: float = 1e-3
 ) -> DataFrame:
     """Gaussian mixture per sample, fitted for all samples together.
 
+    Rounds go on until no sample's mean log-likelihood moves by ``tol`` any more, or for
+    ``rounds`` if given.
+
     A round computes responsibilities where the rows are and adds up the moments per
     (sample, component), so a large sample is never gathered in one task.  The model
     tables stay in Spark and are joined to the rows.
@@ -204,37 +208,48 @@ def fit_sample_mixtures(
                 logp = _log_density(x, w, mu, cov)
                 top = logp.max(axis=1, keepdims=True)
                 r = np.exp(logp - top)
-                r /= r.sum(axis=1, keepdims=True)
+                whole = r.sum(axis=1, keepdims=True)
+                likelihood = (top + np.log(whole)).sum()
+                r /= whole
                 out = []
                 for c in range(len(w)):
                     rx = r[:, c : c + 1] * x
-                    out.append(np.concatenate([[r[:, c].sum()], rx.sum(axis=0), (rx.T @ x).ravel()]))
+                    out.append(np.concatenate([[r[:, c].sum()], rx.sum(axis=0), (rx.T @ x).ravel(), [likelihood]]))
                 yield pd.DataFrame({"sample": key, "comp": range(len(w)), "part": out})
 
     def maximize(batches):
         for pdf in batches:
-            w_out, m_out, c_out = [], [], []
+            w_out, m_out, c_out, l_out = [], [], [], []
             for parts in pdf["parts"]:
                 stats = np.stack(parts)
                 n = np.maximum(stats[:, 0], 1e-10)
                 mu = stats[:, 1 : 1 + d] / n[:, None]
-                cov = stats[:, 1 + d :].reshape(-1, d, d) / n[:, None, None] - mu[:, :, None] * mu[:, None, :]
+                cov = stats[:, 1 + d : -1].reshape(-1, d, d) / n[:, None, None] - mu[:, :, None] * mu[:, None, :]
                 cov = cov + ridge * np.eye(d)
                 w_out.append(n / n.sum())
                 m_out.append(mu.ravel())
                 c_out.append(cov.ravel())
-            yield pd.DataFrame({"sample": pdf["sample"], "w": w_out, "mu": m_out, "cov": c_out})
+                l_out.append(stats[0, -1] / stats[:, 0].sum())
+            yield pd.DataFrame({"sample": pdf["sample"], "w": w_out, "mu": m_out, "cov": c_out, "likelihood": l_out})
 
-    model_type = f"sample {id_type}, w array<double>, mu array<double>, cov array<double>"
-    for _ in range(rounds):
+    model_type = f"sample {id_type}, w array<double>, mu array<double>, cov array<double>, likelihood double"
+    models = models.withColumn("likelihood", F.lit(-math.inf))
+    done = 0
+    while rounds is None or done < rounds:
         joined = join_keys(rows, models, ["sample"])
         parts = joined.mapInPandas(expect, part_type)
         summed = parts.groupBy("sample", "comp").agg(vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("part"))
         packed = summed.groupBy("sample").agg(F.sort_array(F.collect_list(F.struct("comp", "part"))).alias("p"))
+        before = models.select("sample", F.col("likelihood").alias("_before"))
         models = cut(
             packed.select("sample", F.col("p")["part"].alias("parts")).mapInPandas(maximize, model_type), "models"
         )
-    return models
+        done += 1
+        if rounds is None:
+            moved = models.join(before, "sample").agg(F.max(F.abs(F.col("likelihood") - F.col("_before")))).first()[0]
+            if moved is None or not moved >= tol:
+                break
+    return models.drop("likelihood")
 
 
 def _unpack(row, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -252,7 +267,7 @@ def _log_density(x: np.ndarray, w: np.ndarray, mu: np.ndarray, cov: np.ndarray)
 
 
 def density_distances(
-    emb: DataFrame, sample: str, n_components: int = 3, rounds: int = 20, draws: int = 1000
+    emb: DataFrame, sample: str, n_components: int = 3, rounds: int | None = None, draws: int = 1000
 ) -> DataFrame:
     """Symmetrised Kullback-Leibler divergence of the sample densities.
 

@@ -512,3 +512,24 @@ def test_batch_pcr_without_permutations(spark, blobs):
     assert len(rows) == 2 and rows["pcr"].nunique() == 1
     seven = qc.batch_pcr(emb.withColumn("s", (F.col("cell_id") % 10).cast("string")), emb.withColumn("s", (F.col("cell_id") % 10).cast("string")), "label", "s", 7)
     assert seven.count() == 8
+
+
+def test_mixtures_run_until_the_likelihood_stands_still(spark):
+    from heddle.operators import samples as sa
+
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(60, 2)), rng.normal(size=(60, 2)) + 2.2])  # overlapping: convergence is slow
+    emb = spark.createDataFrame([(k, 0, v.tolist()) for k, v in enumerate(x)], "cell_id long, s int, v array<double>")
+    default = sa.fit_sample_mixtures(emb, "s", 2).first()
+
+    def likelihood(m):
+        return sa._total(sa._log_density(x, *sa._unpack(m, 2))).mean()
+
+    mu, cov, w = np.asarray(default["mu"]).reshape(-1, 2), np.asarray(default["cov"]).reshape(-1, 2, 2), np.asarray(default["w"])
+    r = sa._log_density(x, w, mu, cov)
+    r = np.exp(r - sa._total(r)[:, None])
+    n = r.sum(0)
+    mu = r.T @ x / n[:, None]
+    cov = np.stack([(r[:, c, None] * (x - mu[c])).T @ (x - mu[c]) / n[c] + 1e-4 * np.eye(2) for c in range(2)])
+    again = sa._total(sa._log_density(x, n / n.sum(), mu, cov)).mean()
+    assert abs(again - likelihood(default)) < 1e-3
