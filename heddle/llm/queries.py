@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heddle.functions.runtime import ship
 from heddle.llm import (
-    fingerprints, lm_scoring, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, secrets_scan, token_files,
+    fingerprints, lm_scoring, merkle_manifest, mixing, ngram_join, packing, pii, prefix_trie, quality_classifier, quality_rules,
+    secrets_scan, simhash, token_files,
 )
 from heddle.llm.common import Query, documents
 
@@ -15,6 +17,13 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+#: Unsigned CRC-32 of a decimal number, by a table made from the polynomial.
+_CRC = """k AS (SELECT list(v ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, generate_series(1, 8)),
+        lambda c, x: xor(c >> 1, (c & 1) * 3988292384)) AS v FROM (SELECT unnest(generate_series(0::BIGINT, 255::BIGINT)) AS i))),
+c AS (SELECT id, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+        lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295::BIGINT) AS crc FROM (SELECT DISTINCT {id} AS id FROM {table}), k)"""
+
+
 def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -148,3 +157,72 @@ SELECT doc_id, size, source_size, target, (floor(k * rate + u) - floor((k - 1) *
 """)
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("source", "text_key")
+
+
+@query("op11_prefix_trie", f"""
+WITH {_CRC.format(id="conv_id", table="conversations")},
+t AS (SELECT conv_id, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}} ORDER BY turn NULLS FIRST, role, text) AS s
+      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+b AS (SELECT t.conv_id, CASE WHEN p.s IS NULL THEN t.s[(crc % 9) + 1:] ELSE list_concat(p.s[1:crc % 9], t.s[(crc % 9) + 1:]) END AS s
+      FROM t JOIN c ON c.id = t.conv_id LEFT JOIN t p ON p.conv_id = t.conv_id - t.conv_id % 5),
+m AS (SELECT conv_id, s, unnest(generate_series(0, len(s))) AS depth FROM b),
+n AS (SELECT s[1:depth] AS pre, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(s) = depth), '')) AS ends_sha256
+      FROM m GROUP BY ALL),
+k2 AS (SELECT pre[1:depth - 1] AS pre, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(pre[depth].x) END AS own
+      FROM n LEFT JOIN k2 USING (pre, depth)),
+u AS (SELECT *, unnest(generate_series(0, depth)) AS up FROM v),
+sums AS (SELECT pre[1:up] AS pre, up AS depth, sum(own)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM u GROUP BY ALL)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM v JOIN sums USING (pre, depth) LEFT JOIN n p ON p.depth = v.depth - 1 AND p.pre = v.pre[1:v.depth - 1]
+""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return prefix_trie.build(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def _leaf_sql(text: str) -> str:
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _level_sql(name: str, key: str) -> str:
+    """Levels of the trees of ``<name>0 (key, i, n, digest)``, and each node's siblings left and right."""
+    around = f"OVER (PARTITION BY lvl, {key}, i // 16 ORDER BY i ROWS BETWEEN"
+    return f"""{name} AS (SELECT 0 AS lvl, {key}, i, n, digest FROM {name}0
+  UNION ALL SELECT lvl + 1, {key}, i // 16, (any_value(n) + 15) // 16, sha256(string_agg(digest, '' ORDER BY i))
+  FROM {name} WHERE n > 1 GROUP BY lvl, {key}, i // 16),
+{name}s AS (SELECT lvl, {key}, i, coalesce(string_agg(digest, '') {around} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(digest, '') {around} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name} WHERE n > 1)"""
+
+
+@query("op12_merkle_manifest", f"""
+WITH RECURSIVE {_CRC.format(id="doc_id", table="documents")},
+d AS (SELECT doc_id, source, {_leaf_sql("text")} AS leaf, crc % 5 = 0 AS forged,
+        {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS other
+      FROM documents LEFT JOIN c ON c.id = doc_id),
+low0 AS (SELECT doc_id, coalesce('s' || source, 'n') AS source, leaf AS digest, leaf, forged, other,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM d),
+{_level_sql("low", "source")},
+tops AS (SELECT source, digest FROM low WHERE n = 1),
+high0 AS (SELECT 0 AS tree, row_number() OVER (ORDER BY source) - 1 AS i, count(*) OVER () AS n, digest, source FROM tops),
+{_level_sql("high", "tree")},
+f AS (SELECT doc_id, source, leaf, 0 AS lvl, i, CASE WHEN forged THEN other ELSE leaf END AS acc, '' AS proof FROM low0
+  UNION ALL SELECT doc_id, f.source, leaf, f.lvl + 1, f.i // 16, sha256(l || acc || r), proof || l || r
+  FROM f JOIN lows x ON x.lvl = f.lvl AND x.source = f.source AND x.i = f.i),
+g AS (SELECT doc_id, f.source, leaf, 0 AS lvl, high0.i, acc, proof
+      FROM (SELECT *, max(lvl) OVER (PARTITION BY doc_id) AS top FROM f) f JOIN high0 ON high0.source = f.source WHERE lvl = top
+  UNION ALL SELECT doc_id, g.source, leaf, g.lvl + 1, g.i // 16, sha256(l || acc || r), proof || l || r
+  FROM g JOIN highs x ON x.lvl = g.lvl AND x.i = g.i)
+SELECT doc_id, leaf, tops.digest AS subroot, root.digest AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = root.digest AS verified
+FROM (SELECT *, max(lvl) OVER (PARTITION BY doc_id) AS top FROM g) g JOIN tops USING (source), (SELECT digest FROM high WHERE n = 1) root
+WHERE lvl = top
+""")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest(documents(spark, sf_dir), F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+
+
+@query("op13_simhash")
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.dedup(documents(spark, sf_dir))
