@@ -70,8 +70,7 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_ngram_join", r"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-        'abcdefghijklmnopqrstuvwxyz'), '[ 	-
-]+'), lambda x: x <> '') AS ws FROM documents),
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 g AS (SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
         ELSE list_distinct(list_transform(generate_series(1, len(ws) - 4), lambda i: array_to_string(ws[i:i+4], ' '))) END) AS t FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
