@@ -114,9 +114,8 @@ def count(train: DataFrame, order: int = ORDER) -> DataFrame:
             return keys[first], np.add.reduceat(n, first)
 
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in sub_batches(texts):
-                low = [lowered(t) for t in texts[a:b]]
+            for _, texts in sub_batches(batch.column(0)):
+                low = [lowered(t) for t in texts]
                 for t in low:
                     words.update(t.split())
                 words[b""] += len(low)
@@ -242,9 +241,9 @@ def _asking(docs: DataFrame, order: int, shards: int, size: int) -> DataFrame:
 
         for batch in batches:
             types = [c.type for c in batch.columns]
-            texts = batch.column(1).to_pylist()
-            for a, b in sub_batches(texts):
-                key, lengths = _sequences([lowered(t) for t in texts[a:b]], order)
+            for a, texts in sub_batches(batch.column(1)):
+                b = a + len(texts)
+                key, lengths = _sequences([lowered(t) for t in texts], order)
                 held.append(np.unique(key))
                 bytes_ += int(lengths.sum())
                 yield pa.RecordBatch.from_arrays([

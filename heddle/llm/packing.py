@@ -110,9 +110,9 @@ def place(docs: DataFrame, path: str, end_id: int, size: int, open_windows: int,
 
         for batch in batches:
             id_type = batch.column(0).type
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in sub_batches(texts):
-                for key, ids in zip(keys[a:b], own.encode(texts[a:b])):
+            keys = batch.column(0).to_pylist()
+            for first, texts in sub_batches(batch.column(1)):
+                for key, ids in zip(keys[first:], own.encode(texts)):
                     ids = np.concatenate([ids, end])
                     pieces, emitted = state.place(len(ids))
                     for window, start, length in pieces:

@@ -116,13 +116,12 @@ def _encoded(docs: DataFrame, path: str, end_id: int, bounds: list) -> DataFrame
         wide = max(own.library.get_vocab_size(), end_id) > 1 << 16
         end = np.array([end_id], "<u4")
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in sub_batches(texts):
-                keys = batch.column(0).slice(a, b - a)
-                ids = [np.concatenate([x, end]).astype("<u4" if wide else "<u2").tobytes() for x in own.encode(texts[a:b])]
+            for first, texts in sub_batches(batch.column(1)):
+                keys = batch.column(0).slice(first, len(texts))
+                ids = [np.concatenate([x, end]).astype("<u4" if wide else "<u2").tobytes() for x in own.encode(texts)]
                 shard = [0 if k is None else int(np.searchsorted(limits, k)) for k in keys.to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard, pa.int32()), keys, pa.array([wide] * (b - a)), pa.array(ids, pa.binary())], schema.names
+                    [pa.array(shard, pa.int32()), keys, pa.array([wide] * len(ids)), pa.array(ids, pa.binary())], schema.names
                 )
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)

@@ -1,19 +1,23 @@
 """Public tokenizers over many texts, each distinct piece encoded once per worker.
 
 Blanks end a token in both kinds of vocabulary, so a text is cut there, and the
-library encodes only pieces that this worker has not met.  The caches are bounded; they
-only save time.
+library encodes only pieces that this worker has not met.  The cache is bounded in bytes;
+it only saves time.  A text with one of the library's own markers in it goes there whole.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from os.path import commonprefix
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces of one generation of a cache; a cache holds two.
-CACHED = 600_000
+#: Bytes of one generation of a worker's cache, which holds two, and what an entry takes beside its content.
+CACHED = 72_000_000
+ENTRY = 170
 
 _PLAIN_WORD = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _PLAIN_CHUNK = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
@@ -32,26 +36,26 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Cache:
-    """Values by key in two generations: what is not asked for in a while goes."""
+    """Values by key in two generations, bounded in bytes: what is not asked for in a while goes."""
 
     def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
+        self.size, self.held, self.young, self.old = size, 0, {}, {}
 
     def turn(self) -> None:
         """Begin a new generation if this one is full; before a round of look-ups."""
-        if len(self.young) > self.size:
-            self.old, self.young = self.young, {}
+        if self.held > self.size:
+            self.old, self.young, self.held = self.young, {}, 0
 
     def missing(self, keys: set) -> list:
-        """Those of ``keys`` that must be made; the others are young from now on."""
-        out = []
+        """Those of ``keys``, none of them young, that must be made; the others are young from now on."""
+        old, out = self.old, []
         for key in keys:
-            if key not in self.young:
-                value = self.old.get(key)
-                if value is None:
-                    out.append(key)
-                else:
-                    self.young[key] = value
+            value = old.get(key)
+            if value is None:
+                out.append(key)
+            else:
+                self.young[key] = value
+        self.held += ENTRY * (len(keys) - len(out))
         return out
 
 
@@ -62,18 +66,25 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.model = self.library.model
-        self.words, self.pieces = Cache(cached), Cache(cached)
+        self.known = Cache(cached)
+        # a text that holds one of the library's own markers is encoded whole
+        self.markers = [t.content.lower() for t in self.library.get_added_tokens_decoder().values()]
+        self.marked = commonprefix(self.markers)
         self.drops_blanks = self.library.encode("a b", add_special_tokens=False).ids == self.library.encode(
             "a\n b", add_special_tokens=False
         ).ids
         self.folds_case = self.library.encode("A", add_special_tokens=False).ids == self.library.encode(
             "a", add_special_tokens=False
         ).ids
+        if self.drops_blanks and self.folds_case:
+            self.plain = _PLAIN_WORD.fullmatch
+        else:
+            self.plain = (lambda _: None) if self.drops_blanks else _PLAIN_CHUNK.fullmatch
 
         # a piece of letters needs no normalisation: the model alone gives its ids
         self.letters = _byte_letters()
+        self.packed = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
         probes = _PROBES[:1] + _PROBES[2:4] if self.drops_blanks else _PROBES
         try:
             self.direct = [self._by_model(p) for p in probes] == self._whole(probes)
@@ -85,41 +96,59 @@ class PieceEncoder:
 
     def _by_model(self, piece: str) -> bytes:
         if piece.isascii():  # letters stand for themselves
-            spelled = piece.replace(" ", self.letters[32])
+            spelled = self.letters[32] + piece[1:] if piece[0] == " " else piece
         else:
             spelled = "".join([self.letters[b] for b in piece.encode()])
-        found = self.model.tokenize(spelled)
-        return b"".join([t.id.to_bytes(4, "little") for t in found])
-
-    def _encode_pieces(self, pieces: set[str], letters: set[str]) -> dict[str, bytes]:
-        """Ids of the pieces (and of others); ``letters`` are those of letters only."""
-        self.pieces.turn()
-        known, new = self.pieces.young, self.pieces.missing(pieces)
-        whole = [p for p in new if p not in letters] if self.direct else new
-        known.update(zip(whole, self._whole(whole) if whole else []))
-        for p in new if self.direct else ():
-            if p not in known:
-                known[p] = self._by_model(p)
-        return known
-
-    def _parts(self, key, letters: set[str]) -> list[str]:
-        """Pieces of a cut that are encoded apart."""
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(spelled)])
+
+    def _text(self, key) -> str:
+        """The characters that a cut stands for."""
         if self.drops_blanks:
-            text = key.decode("utf-8", "surrogatepass")
-            plain = _PLAIN_WORD.fullmatch(text) if self.folds_case else None
-        else:
-            if key[:1] == "\n":  # a line end stands alone, and no space is behind it
-                return ["\n", *(self._parts(_FIRST + key[1:], letters) if len(key) > 1 else [])]
-            text = key[1:] if key[:1] == _FIRST else " " + key
-            plain = _PLAIN_CHUNK.fullmatch(text)
-        if not plain:
-            return [text]
-        word, marks = plain.groups()
-        letters.add(word)
-        return [word, marks] if marks else [word]
+            return str(key, "utf-8", "surrogatepass")
+        return key[1:] if key[:1] == _FIRST else " " + key
+
+    def _make(self, new: list) -> None:
+        """Keep the ids of cuts that this worker has not met.
+
+        Letters go to the model, marks behind them are a cut of their own, and the library
+        encodes the rest.
+        """
+        young, plain, text_of, by_model = self.known.young, self.plain, self._text, self._by_model
+        rest, behind, lines = {}, [], []
+        for key in new:
+            if key[:1] == "\n":
+                lines.append(key)
+                continue
+            text = text_of(key)
+            letters = plain(text) if self.direct else None
+            if letters is None:
+                rest[key] = text
+            elif letters.end(1) == len(text):
+                young[key] = by_model(text)
+            else:  # marks are ASCII, so both kinds of cuts end in them
+                n = len(text) - letters.end(1)
+                word, marks = key[:-n], key[-n:] if self.drops_blanks else _FIRST + key[-n:]
+                if word not in young:
+                    young[word] = by_model(text[:-n])
+                if marks not in young:
+                    rest[marks] = text[-n:]
+                behind.append((key, word, marks))
+        if lines:  # a line end stands alone, and no space is behind it
+            rest["\n"] = "\n"
+            self._make([_FIRST + key[1:] for key in lines if len(key) > 1])
+        if rest:
+            young.update(zip(rest, self._whole(list(rest.values()))))
+        for key, word, marks in behind:
+            young[key] = young[word] + young[marks]
+        for key in lines:
+            young[key] = young["\n"] + (young[_FIRST + key[1:]] if len(key) > 1 else b"")
+        self.known.held += len(new) * (ENTRY + 8) + sum(map(len, new))
 
     def _cut(self, text: str) -> list | None:
         """Cuts whose ids, one after another, are those of the text; None if it must stay whole."""
+        if self.marked in text and self.markers and any(m in text.lower() for m in self.markers):
+            return None
         if self.drops_blanks:
             raw = text.encode("utf-8", "surrogatepass")
             return (raw.lower() if self.folds_case else raw).split()
@@ -137,20 +166,16 @@ class PieceEncoder:
         """One array of 32-bit ids per text; a NULL text is empty."""
         texts = [t or "" for t in texts]
         cuts = [self._cut(t) for t in texts]
-        self.words.turn()
-        get = self.words.young.get
+        self.known.turn()
+        get = self.known.young.get
         found = [list(map(get, c)) if c else [] for c in cuts]
         gaps = []  # places of cuts that this worker has not met
         for ids, words in zip(found, cuts):
             if None in ids:
                 gaps += [(ids, at, words[at]) for at, known in enumerate(ids) if known is None]
         if gaps:
-            letters: set[str] = set()
-            parts = {w: self._parts(w, letters) for w in self.words.missing({w for _, _, w in gaps})}
-            pieces = self._encode_pieces({p for ps in parts.values() for p in ps}, letters)
-            young = self.words.young
-            for w, ps in parts.items():
-                young[w] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
+            self._make(self.known.missing({w for _, _, w in gaps}))
+            young = self.known.young
             for ids, at, w in gaps:
                 ids[at] = young[w]
         out = [b"".join(ids) for ids in found]
@@ -173,13 +198,12 @@ def encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
-def sub_batches(texts: list[str | None], chars: int = 4_000_000):
-    """Runs of places whose texts hold about ``chars`` characters together."""
-    first, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if size >= chars:
-            yield first, i + 1
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+def sub_batches(texts: pa.Array, size: int = 4_000_000) -> Iterator[tuple[int, list[str | None]]]:
+    """Runs of the texts of a batch that hold about ``size`` bytes together, each with its first place."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first, n = 0, len(ends)
+    while first < n:
+        before = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield first, texts.slice(first, last - first).to_pylist()
+        first = last

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -265,20 +266,19 @@ def test_words_round_trip(high):
 
 def ids_of(path, text):
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     return library.encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
 def test_cut_texts_have_the_librarys_ids(path):
     rng = random.Random(1)
-    parts = "a,B,é,ß, ,  ,\n,\n\n, \n,\n ,\t,it's,12,3,$,_,.,Ω,\x00,\x1c,\xa0,<|endoftext|>,the,'ll,\u2003,中,ñ,-".split(",")
+    parts = "a,B,é,ß, ,  ,\n,\n\n, \n,\n ,\t,it's,12,3,$,_,.,Ω,\x00,\x1c,\xa0,<|endoftext|>,the,'ll,\u2003,中,ñ,-,<|StartOfText|>,<|startoftext|>,<|".split(",")
     texts = [None, "", " ", "\n", " a", "a ", "a\n", "\na"] + ["".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(3000)]
-    own, got = tokens.PieceEncoder(path, cached=200), []
-    for a, b in tokens.sub_batches(texts, 2000):
-        got += [ids.tolist() for ids in own.encode(texts[a:b])]
+    own, got = tokens.PieceEncoder(path, cached=40_000), []
+    for first, some in tokens.sub_batches(pa.array(texts, pa.string()), 2000):
+        assert first == len(got)
+        got += [ids.tolist() for ids in own.encode(some)]
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     assert got == [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
