@@ -95,10 +95,13 @@ def _signed(a: np.ndarray) -> np.ndarray:
 
 
 def read_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Rows (``doc_id``, ``sid``, ``n``) of documents, and rows (``token``, ``freq``) of repeated shingles."""
+    """Rows (``doc_id``, ``th``, ``sid``, ``n``) of documents, and rows (``token``, ``freq``) of repeated shingles.
+
+    ``th`` is a hash of the text: with it, rows of one id (or none) are told apart.
+    """
     id_type = docs.schema["doc_id"].dataType
     schema = T.StructType([
-        T.StructField("doc_id", id_type), T.StructField("sid", T.LongType()), T.StructField("n", T.LongType()),
+        T.StructField("doc_id", id_type), T.StructField("th", T.LongType()), T.StructField("sid", T.LongType()), T.StructField("n", T.LongType()),
         T.StructField("token", T.LongType()), T.StructField("freq", T.LongType()),
     ])
 
@@ -107,7 +110,7 @@ def read_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             tokens, freq = np.unique(np.concatenate(held), return_counts=True)
             often = freq > 1
             tokens, freq = _signed(tokens[often]), freq[often].astype(np.int64)
-            none = [pa.nulls(len(tokens), t) for t in (id_arrow, pa.int64(), pa.int64())]
+            none = [pa.nulls(len(tokens), t) for t in (id_arrow, pa.int64(), pa.int64(), pa.int64())]
             return pa.RecordBatch.from_arrays([*none, pa.array(tokens), pa.array(freq)], names)
 
         names, id_arrow = schema.names, pa.int64()
@@ -125,14 +128,15 @@ def read_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                     held.append(tokens)
                     size += len(tokens)
             none = pa.nulls(len(sids), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sids, pa.int64()), pa.array(ns, pa.int64()), none, none], names)
+            own = [pa.array(sids, pa.int64()), pa.array(ns, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *own, none, none], names)
             if size > 4 * BLOCK:
                 yield counted(held)
                 held, size, seen = [], 0, set()
         if held:
             yield counted(held)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text", "th").mapInArrow(run, schema)
 
 
 def frequent(sets: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
@@ -431,24 +435,28 @@ def join(
 ) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` (the least id it reaches by links) and ``n_links``."""
     docs = docs.select(quoted(id_col).alias("doc_id"), quoted(text_col).cast("string").alias("text"))
+    docs = docs.withColumn("th", F.xxhash64("text"))
     sets = cut(read_sets(docs, width), "sets")
-    rows = sets.filter("sid IS NOT NULL").select("doc_id", "sid", "n")
+    rows = sets.filter("sid IS NOT NULL").select("doc_id", "th", "sid", "n")
     known, freq = frequent(sets)
     entries = int(rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) * (100 - percent) // 100
     lists = postings(docs, known, freq, max(16, entries // BUCKET), width, percent)
     maybe = cut(contracted(candidates(lists, percent)), "candidates")
     ends = maybe.select(F.col("src").alias("node")).unionByName(maybe.select(F.col("dst").alias("node"))).distinct()
     groups = connected_components(maybe, ends).withColumnRenamed("node", "sid")
-    classes = cut(
-        rows.filter("n > 0").groupBy("sid").agg(
-            F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.count(F.lit(1)).alias("weight")
-        ).join(groups, "sid", "left"), "classes"
-    )
+    # the row of the least id stands for a set; equal rows are counted beforehand
+    equal = rows.filter("n > 0").groupBy("sid", "doc_id", "th").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "copies")).alias("first")
+    classes = equal.groupBy("sid").agg(first, F.max("n").alias("n"), F.sum("copies").alias("weight"))
+    classes = cut(classes.select("sid", "first.doc_id", "first.th", "first.copies", "n", "weight").join(groups, "sid", "left"), "classes")
     asked = classes.filter("component IS NOT NULL")
     slots = int(asked.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // BLOCK + 1
     weights = asked.groupBy("component").agg(F.ceil(F.sum("n") / float(BLOCK)).cast("int").alias("blocks"))
     placed = asked.join(weights, "component").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    texts = placed.join(docs.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    named = docs.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
+    texts = placed.join(named, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
+    if not asked.filter("copies > 1").isEmpty():
+        texts = texts.filter("copies = 1").unionByName(texts.filter("copies > 1").dropDuplicates(["sid"]))
 
     def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
