@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from heddle.catalog import query
 from heddle.catalog.tables import r6
 from heddle.functions.runtime import cut
-from heddle.operators import graph as gr, joins, neighbors as nb
+from heddle.operators import descent as ds, graph as gr, joins, neighbors as nb
+from heddle.operators.paths import graph_neighbors
 from heddle.plans import view
 from heddle.plans.view import EMB
 
@@ -64,6 +65,25 @@ def g5(spark, sf):
     return r6(gr.neighbors(sample_fraction(view.emb(spark, sf), "cell_id", 0.9), 15), "dist")
 
 
+@query("g1_knn_descent")
+def g1d(spark, sf):
+    return r6(ds.knn_descent(view.emb(spark, sf), 14), "dist")
+
+
+@query("g1_descent_recall", "SELECT count(*) AS n_queries, TRUE AS enough FROM embeddings WHERE vec_id % 50 = 0")
+def g1r(spark, sf):
+    """Approximate neighbours of all rows against the exact ones of every fiftieth row."""
+    emb = view.emb(spark, sf)
+    got = ds.recall(ds.knn_descent(emb, 14), nb.knn(emb, 14), F.col("src") % 50 == 0)
+    return got.select("n_queries", (F.col("recall") >= 0.9).alias("enough"))
+
+
+@query("x9_graph_neighbors")
+def x9n(spark, sf):
+    """The 90 nearest rows of each row along the neighbour graph."""
+    return r6(graph_neighbors(graph(spark, sf), 90), "dist")
+
+
 @query("g6_leiden")
 def g6(spark, sf):
     return gr.add_clusters(view.emb(spark, sf).select("cell_id", "label"), weights(spark, sf), [0.5, 1.0])

@@ -14,7 +14,7 @@ from heddle.functions.runtime import cut
 from heddle.operators import correct as co, labels as lb, matrix as mx, metrics as mt, samples as sa
 from heddle.operators.neighbors import knn
 from heddle.plans import evaluate as ev, integrate as it, registry, view
-from heddle.plans.view import EMB, EMB_DIMS, OBS, VAR, X
+from heddle.plans.view import EMB, EMB_DIMS, EMB_DIMS, OBS, VAR, X
 from heddle.sources import table as tb
 from heddle.sources.table import AnnotatedTable
 
@@ -28,10 +28,14 @@ def embedded(spark, sf):
     return AnnotatedTable({"obs": emb.select("cell_id", "label", "batch"), "obsm/X_pca": emb.select("cell_id", "v")})
 
 
-@query("b1_unintegrated", f"WITH {EMB} SELECT cell_id, round(v[1], 6) AS first FROM emb")
+def coordinates(vectors):
+    """All coordinates in long form."""
+    return vectors.select("cell_id", F.posexplode("v").alias("dim", "value")).withColumn("value", F.round("value", 6))
+
+
+@query("b1_unintegrated", f"WITH {EMB_DIMS} SELECT cell_id, CAST(dim AS INTEGER) AS dim, round(val, 6) AS value FROM dims")
 def b1(spark, sf):
-    out = it.run_method("unintegrated", embedded(spark, sf), "batch", "embed")
-    return out["obsm/X_emb"].select("cell_id", F.round(F.col("v")[0], 6).alias("first"))
+    return coordinates(it.run_method("unintegrated", embedded(spark, sf), "batch", "embed")["obsm/X_emb"])
 
 
 @query("b2_combat")
@@ -212,15 +216,13 @@ def v1(spark, sf):
     return filter_obs(view.obs(spark, sf), queries=["(price > 1000 AND label LIKE '1%') OR donor % 7 = 3"], subset=True).select("cell_id")
 
 
-@query("v2_own_method", f"WITH {EMB} SELECT cell_id, round(v[1] * 2, 6) AS first FROM emb")
+@query("v2_own_method", f"WITH {EMB_DIMS} SELECT cell_id, CAST(dim AS INTEGER) AS dim, round(val * 2, 6) AS value FROM dims")
 def v2(spark, sf):
-    def double(t, batch, **_):
+    @it.method("doubled", "embed")
+    def doubled(t, batch, **_):
         return t.with_slot("obsm/X_emb", t["obsm/X_pca"].withColumn("v", F.transform("v", lambda a: a * 2)))
 
-    own = it.Method("double", double, ("embed",))
-    out = own.fn(embedded(spark, sf), "batch")
-    it.check_output(out, "embed")
-    return out["obsm/X_emb"].select("cell_id", F.round(F.col("v")[0], 6).alias("first"))
+    return coordinates(it.run_method("doubled", embedded(spark, sf), "batch")["obsm/X_emb"])
 
 
 @query("v3_own_metric", f"WITH {EMB} SELECT 'share_first' AS metric_name, round(avg(CASE WHEN batch = '0' THEN 1.0 ELSE 0.0 END), 6) AS score FROM emb")
@@ -280,6 +282,6 @@ def preprocess_flow(spark, sf):
     """Normalise, select, reduce and link a table in one call."""
     emb = components(spark, sf)
     t = AnnotatedTable({"obs": emb.select("cell_id", "batch"), "X": view.x(spark, sf), "var": view.var(spark, sf)})
-    out = it.preprocess(t, n_top=30, n_comps=5)
+    out = it.preprocess(t)
     counts = cut(out["obsp/distances"].groupBy("src").agg(F.count("*").alias("n_neighbors")))
     return counts.groupBy("n_neighbors").agg(F.count("*").alias("n_cells"))

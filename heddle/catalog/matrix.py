@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from heddle.catalog import query
@@ -113,11 +114,44 @@ def top_features(spark, sf, n=50):
 
 @query("m6_pca_matrix")
 def m6(spark, sf):
-    x, feats = top_features(spark, sf)
-    scores, _, _ = mx.matrix_pca(x, view.obs(spark, sf), feats, 10, scaled=True)
+    x, feats = top_features(spark, sf, 2000)
+    scores, _, _ = mx.matrix_pca(x, view.obs(spark, sf), feats, scaled=True)
     return scores.select("cell_id", F.transform("v", lambda a: F.round(a, 6)).alias("v"))
 
 
+@query("m6_pca_invariants", f"""WITH {NORM}, l AS (SELECT gene_id, ln(1 + value) AS v FROM norm), lin AS (SELECT gene_id, value AS v FROM norm),
+    {dispersion_sql(('orders', 'lin'), [])},
+    f AS (SELECT gene_id FROM nd WHERE dispersions_norm IS NOT NULL ORDER BY dispersions_norm DESC, gene_id LIMIT 2000),
+    m AS (SELECT gene_id, sum(v) / any_value(n) AS mu, sqrt((sum(v * v) - sum(v) ** 2 / any_value(n)) / (any_value(n) - 1)) AS sd, any_value(n) AS n
+      FROM l JOIN f USING (gene_id), (SELECT count(*) AS n FROM orders) GROUP BY 1),
+    z AS (SELECT gene_id, n, greatest(least((v - mu) / CASE WHEN sd > 0 THEN sd ELSE 1 END, 10), -10) AS z,
+      greatest(least(-mu / CASE WHEN sd > 0 THEN sd ELSE 1 END, 10), -10) AS z0 FROM l JOIN m USING (gene_id)),
+    g AS (SELECT (sum(z * z) + (any_value(n) - count(*)) * any_value(z0) ** 2
+      - (sum(z) + (any_value(n) - count(*)) * any_value(z0)) ** 2 / any_value(n)) / (any_value(n) - 1) AS variance FROM z GROUP BY gene_id)
+  SELECT CAST(50 AS BIGINT) AS n_comps, round(sum(variance), 4) AS total_variance, TRUE AS loadings_orthonormal, TRUE AS scores_uncorrelated, TRUE AS falling FROM g""")
+def m6i(spark, sf):
+    """What holds for components of any matrix, over all rows and features of the defaults."""
+    x, feats = top_features(spark, sf, 2000)
+    scores, loadings, variance = (cut(t) for t in mx.matrix_pca(x, view.obs(spark, sf), feats, scaled=True))
+
+    def products(t):  # upper triangle of the vectors' cross products
+        pairs = F.expr("flatten(transform(v, (a, i) -> transform(filter(v, (b, j) -> j >= i), (b, j) -> struct(i AS i, i + j AS j, a * b AS p))))")
+        return t.select(F.explode(pairs).alias("e")).groupBy("e.i", "e.j").agg(F.sum("e.p").alias("p"))
+
+    ahead = Window.orderBy("pc")
+    steps = variance.withColumn("_less", F.col("variance") <= F.lag("variance").over(ahead) + 1e-9)
+    facts = variance.agg(
+        F.count(F.lit(1)).alias("n_comps"), F.round(F.max(F.col("variance") / F.col("variance_ratio")), 4).alias("total_variance")
+    )
+    off = F.abs(F.col("p") - F.when(F.col("i") == F.col("j"), 1.0).otherwise(0.0))
+    unit = products(loadings).agg((F.max(off) < 1e-8).alias("loadings_orthonormal"))
+    spread = variance.select(F.col("pc").alias("i"), "variance")
+    n = F.lit(float(scores.count() - 1))
+    want = F.when(F.col("i") == F.col("j"), F.col("variance")).otherwise(0.0)
+    apart = products(scores).join(spread, "i").agg((F.max(F.abs(F.col("p") / n - want)) < 1e-6).alias("scores_uncorrelated"))
+    return facts.crossJoin(unit).crossJoin(apart).crossJoin(steps.agg(F.every(F.coalesce("_less", F.lit(True))).alias("falling")))
+
+
 @query("m6_pca_variance", f"""WITH d AS (SELECT unnest(range(64)) AS dim, unnest(embedding::DOUBLE[]) AS val FROM embeddings),
     v AS (SELECT dim, var_samp(val) AS v FROM d GROUP BY 1) SELECT round(sum(v), 6) AS total_variance, CAST(1 AS DOUBLE) AS ratio FROM v""")
 def m6b(spark, sf):

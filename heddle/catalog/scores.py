@@ -107,6 +107,11 @@ def x10(spark, sf):
     return r6(mt.ilisi(graph(spark, sf), view.emb(spark, sf), "batch", 15), "score")
 
 
+@query("x9_clisi_direct")
+def x9d(spark, sf):
+    return r6(mt.clisi(graph(spark, sf), view.emb(spark, sf), "label", 15, reach=None), "score")
+
+
 @query("x11_kbet_statistic", f"""WITH {KNN}, nb AS (SELECT src, db FROM knn UNION ALL SELECT cell_id, batch FROM emb),
     f AS (SELECT batch, count(*) / (SELECT count(*) FROM emb) AS f FROM emb GROUP BY 1),
     g AS (SELECT cell_id, f.batch, f FROM emb CROSS JOIN f), o AS (SELECT src, db, count(*) AS o FROM nb GROUP BY 1, 2)
@@ -342,8 +347,11 @@ def scored_table(spark, sf):
 def x24(spark, sf):
     t = view.annotated(spark, sf)
     x = mx.log1p(mx.normalize_total(t["X"]))
-    hv = cut(mx.highly_variable(x, t["obs"], t["var"], n_top=30).select("gene_id", "highly_variable"))
-    scores, _, _ = mx.matrix_pca(x, t["obs"], hv.filter("highly_variable"), 5)
+    hv = cut(mx.highly_variable(x, t["obs"], t["var"], n_top=2000).select("gene_id", "highly_variable"))
+    raw = cut(x, "norm")
+    # the matrix of the unintegrated table is the corrected one of a method that changes nothing
+    given = AnnotatedTable({"obs": t["obs"], "X": raw, "var": t["var"].join(hv, "gene_id", "left")}, {})
+    _, scores = ev.prepare(given.with_slot("obsm/X_emb", view.emb(spark, sf).select("cell_id", "v")), given, "embed", "highly_variable")
     return scores.select("cell_id", F.transform("v", lambda a: F.round(a, 5)).alias("v"))
 
 

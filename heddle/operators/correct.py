@@ -119,17 +119,16 @@ def combat_model(
                 continue
             gamma_hat, z1, z2 = (np.stack(pdf[c]) for c in ("gamma", "z1", "z2"))
             g, d = gamma_hat.copy(), np.stack(pdf["delta"])
-            for _ in range(500):
-                g_new = (t2 * n_b * gamma_hat + d * g_bar) / np.maximum(t2 * n_b + d, 1e-300)
-                ss = z2 - 2 * g_new * z1 + n_b * g_new**2
+            moving = np.arange(len(g))  # genes whose solution still moves
+            while len(moving):
+                z1_, z2_, hat, g_, d_ = z1[moving], z2[moving], gamma_hat[moving], g[moving], d[moving]
+                g_new = (t2 * n_b * hat + d_ * g_bar) / np.maximum(t2 * n_b + d_, 1e-300)
+                ss = z2_ - 2 * g_new * z1_ + n_b * g_new**2
                 d_new = (0.5 * ss + b_prior) / (n_b / 2 + a_prior - 1)
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    change = max(
-                        np.nanmax(np.abs(g_new - g) / np.maximum(np.abs(g), 1e-12)), np.nanmax(np.abs(d_new - d) / np.maximum(d, 1e-12))
-                    )
-                g, d = g_new, d_new
-                if change < tolerance:
-                    break
+                    change = np.maximum(np.abs(g_new - g_) / np.maximum(np.abs(g_), 1e-12), np.abs(d_new - d_) / np.maximum(d_, 1e-12))
+                g[moving], d[moving] = g_new, d_new
+                moving = moving[np.nan_to_num(change).max(axis=1) >= tolerance]
             ok = pdf["ok"].to_numpy()[:, None]
             slope = np.where(ok, 1 / np.sqrt(np.maximum(d, 1e-12)), 1.0)[:, batch_of]
             stand, sigma = np.stack(pdf["stand"]), pdf["sigma"].to_numpy()[:, None]

@@ -24,11 +24,14 @@ def neighbors(emb: DataFrame, n_neighbors: int = 15, same: str | None = None) ->
 
 
 def kernel_widths(n_neighbors: int):
-    """Membership strengths of sorted neighbour distances, solved for a batch of rows at once."""
+    """Membership strengths of sorted neighbour distances, solved for a batch of rows at once.
+
+    The second argument is the mean distance of the whole graph, the same on all rows.
+    """
     target = np.log2(n_neighbors)
 
     @F.pandas_udf("array<double>")
-    def strengths(distances: pd.Series) -> pd.Series:
+    def strengths(distances: pd.Series, means: pd.Series) -> pd.Series:
         if len(distances) == 0:
             return pd.Series([], dtype=object)
         width = max(len(d) for d in distances)
@@ -47,7 +50,7 @@ def kernel_widths(n_neighbors: int):
             lo = np.where(high, lo, mid)
             mid = np.where(np.isinf(hi), mid * 2, (lo + hi) / 2)
         present = np.isfinite(d)
-        mean_all = np.where(present, d, 0).sum() / max(present.sum(), 1)
+        mean_all = means.to_numpy()
         mean_row = np.where(present, d, 0).sum(axis=1) / np.maximum(present.sum(axis=1), 1)
         floor = 1e-3 * np.where(rho > 0, mean_row, mean_all)
         mid = np.maximum(mid, np.maximum(floor, 1e-12))
@@ -61,8 +64,9 @@ def connectivities(edges: DataFrame, n_neighbors: int = 15) -> DataFrame:
     """Fuzzy union of directed membership strengths: symmetric ``src, dst, weight``."""
     lists = edges.groupBy("src").agg(F.array_sort(F.collect_list(F.struct("dist", "dst"))).alias("e"))
     strengths = kernel_widths(n_neighbors)
+    mean = F.coalesce(edges.agg(F.avg("dist")).scalar(), F.lit(0.0))
     directed = lists.select(
-        "src", F.explode(F.arrays_zip(F.col("e")["dst"].alias("dst"), strengths(F.col("e")["dist"]).alias("w"))).alias("z")
+        "src", F.explode(F.arrays_zip(F.col("e")["dst"].alias("dst"), strengths(F.col("e")["dist"], mean).alias("w"))).alias("z")
     ).select("src", F.col("z")["dst"].alias("dst"), F.col("z")["w"].alias("w"))
     both = directed.unionByName(directed.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
     return both.groupBy("src", "dst").agg(

@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 from heddle.functions.ordering import exact_quantiles, prefix_sums, running_index, sample_exact
 from heddle.functions.runtime import cut, join_keys, quoted
 from heddle.operators.aggregate import detected_features, large_batches
+from heddle.operators.components import TOLERANCE, components
 from heddle.operators.obs import match_features
 
-MAX_DENSE_FEATURES = 8_000
+#: Up to this length of array rows, components come from a feature x feature matrix.
+GRAM_FEATURES = 4_096
 
 
 def cell_totals(x: DataFrame) -> DataFrame:
@@ -94,8 +96,6 @@ def to_vectors(
     x: DataFrame, obs: DataFrame, index: DataFrame, n_features: int, adjust: Callable | None = None
 ) -> DataFrame:
     """One dense array per cell over the indexed features; empty cells are all zero."""
-    if n_features > MAX_DENSE_FEATURES:
-        raise ValueError(f"{n_features} features are too many for dense rows; select features first")
     rows = (
         x.join(index, "gene_id")
         .groupBy("cell_id")
@@ -296,8 +296,11 @@ def pca(df: DataFrame, n_comps: int, vector: str = "v", id_col: str = "cell_id")
             spark.createDataFrame([], "idx int, v array<double>"),
             spark.createDataFrame([], "pc int, variance double, variance_ratio double"),
         )
-    if first["p"] > MAX_DENSE_FEATURES:
-        raise ValueError("select features before computing components")
+    if first["p"] > GRAM_FEATURES:
+        long = df.select(quoted(id_col).alias("cell_id"), F.posexplode(quoted(vector)).alias("idx", "value"))
+        features = spark.range(first["p"]).select(F.col("id").cast("int").alias("idx"))
+        scores, loadings, variance = components(cut(long.filter("value != 0"), "entries"), long.select("cell_id").distinct(), features, n_comps)
+        return scores.withColumnRenamed("cell_id", id_col), loadings, variance
     rows = df.select(quoted(id_col), array_to_vector(quoted(vector)).alias("_vec"))
     k = min(n_comps, first["p"])
     model = PCA(k=k, inputCol="_vec", outputCol="_out").fit(rows)
@@ -327,23 +330,24 @@ def pca(df: DataFrame, n_comps: int, vector: str = "v", id_col: str = "cell_id")
 
 
 def matrix_pca(
-    x: DataFrame, obs: DataFrame, features: DataFrame, n_comps: int = 50, scaled: bool = False, max_value: float = 10.0
+    x: DataFrame, obs: DataFrame, features: DataFrame, n_comps: int = 50, scaled: bool = False, max_value: float = 10.0,
+    tolerance: float = TOLERANCE,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Components of the selected features; loadings carry the feature id."""
+    """Components of the selected features; loadings carry the feature id.
+
+    Nothing is made dense: scaled and clipped, an absent entry is a constant of its feature.
+    """
     index = cut(feature_index(features), "features")
-    n = index.count()
-    if n == 0 or obs.isEmpty():
-        empty = obs.select("cell_id", F.array().cast("array<double>").alias("v")).limit(0)
-        return pca(empty, n_comps)
-    standardize = None
+    entries = x.join(index, "gene_id").join(obs.select("cell_id"), "cell_id", "left_semi")
+    value = F.col("value")
     if scaled:
-        moments = index.join(feature_moments(x, count_rows(obs)), "gene_id", "left").orderBy("idx").toPandas()
-        mean = moments["mean"].fillna(0.0).to_numpy()
-        sd = np.sqrt(moments["var"].fillna(0.0).to_numpy())
-        sd[sd == 0] = 1.0
-        standardize = lambda dense: np.clip((dense - mean) / sd, -max_value, max_value)
-    vectors = to_vectors(x, obs, index, n, standardize)
-    scores, loadings, variance = pca(cut(vectors, "dense"), n_comps)
+        stats = feature_moments(x, count_rows(obs)).select("gene_id", "mean", F.sqrt("var").alias("sd"))
+        entries = entries.join(stats, "gene_id")
+        z = lambda v: (v - F.col("mean")) / F.when(F.col("sd") > 0, F.col("sd")).otherwise(1.0)
+        clipped = lambda v: F.least(F.greatest(v, F.lit(-float(max_value))), F.lit(float(max_value)))
+        value = clipped(z(value)) - clipped(z(F.lit(0.0)))  # absent entries are the constant
+    entries = cut(entries.select("cell_id", "idx", value.cast("double").alias("value")), "entries")
+    scores, loadings, variance = components(entries, obs.select("cell_id"), index, n_comps, tolerance)
     return scores, loadings.join(index, "idx").drop("idx"), variance
 
 

@@ -22,6 +22,7 @@ from heddle.functions.ordering import exact_quantiles, hash_key, hash_normal, ru
 from heddle.functions.runtime import cut, drop_missing, join_keys, quoted
 from heddle.operators import neighbors as nb
 from heddle.operators.graph import cluster, connected_components, connectivities
+from heddle.operators.paths import graph_neighbors
 from heddle.operators.sample import bootstrap_ids
 
 
@@ -290,22 +291,31 @@ def lisi(edges: DataFrame, labels: DataFrame, label: str, k: int, perplexity: fl
     return lists.select(F.col("src").alias("cell_id"), simpson(F.col("e")["dist"], F.col("e")["_c"]).alias("lisi"))
 
 
-def _median_lisi(edges: DataFrame, labels: DataFrame, label: str, k: int) -> tuple[Column, Column]:
+#: Rows that the neighbourhood indices of the graph reach along its edges.
+REACH = 90
+
+
+def _median_lisi(edges: DataFrame, labels: DataFrame, label: str, k: int, reach: int | None) -> tuple[DataFrame, Column]:
+    if reach is not None:
+        edges, k = graph_neighbors(edges, reach), reach
     values = exact_quantiles(lisi(edges, labels, label, k), [], "lisi", {"m": 0.5})
-    n = labels.agg(F.countDistinct(quoted(label)))
-    return values, n
+    return values, labels.agg(F.countDistinct(quoted(label)))
 
 
-def clisi(edges: DataFrame, labels: DataFrame, label: str, k: int) -> DataFrame:
-    """1 when every neighbourhood has one label."""
-    values, n = _median_lisi(edges, labels, label, k)
+def clisi(edges: DataFrame, labels: DataFrame, label: str, k: int, reach: int | None = REACH) -> DataFrame:
+    """1 when every neighbourhood has one label.
+
+    A neighbourhood is the ``reach`` nearest rows along the graph; without ``reach``, the
+    direct neighbours.
+    """
+    values, n = _median_lisi(edges, labels, label, k, reach)
     size = n.scalar()
     return values.select(((size - F.col("m")) / (size - 1)).alias("score"))
 
 
-def ilisi(edges: DataFrame, labels: DataFrame, batch: str, k: int) -> DataFrame:
-    """1 when every neighbourhood has all batches in equal shares."""
-    values, n = _median_lisi(edges, labels, batch, k)
+def ilisi(edges: DataFrame, labels: DataFrame, batch: str, k: int, reach: int | None = REACH) -> DataFrame:
+    """1 when every neighbourhood, as in ``clisi``, has all batches in equal shares."""
+    values, n = _median_lisi(edges, labels, batch, k, reach)
     size = n.scalar()
     return values.select(((F.col("m") - 1) / (size - 1)).alias("score"))
 

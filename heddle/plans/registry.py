@@ -144,10 +144,11 @@ for _name, _other in {
     "isolated_label_asw_y": "isolated_label_asw", "kbet": "kbet_y", "pcr_y": "pcr_comparison",
 }.items():
     alias(_name, _other)
-alias("clisi_y", "clisi", VECTORS)
-alias("ilisi_y", "ilisi", VECTORS)
+# The second forms weigh the direct neighbours only.
+metric("clisi_y", BIO, VECTORS)(lambda c: mt.clisi(c.distances, c.obs, c.label, c.n_neighbors, reach=None))
+metric("ilisi_y", BATCH, VECTORS)(lambda c: mt.ilisi(c.distances, c.obs, c.batch, c.n_neighbors, reach=None))
 # This name has always computed the label variant of the neighbourhood index.
-METRICS["graph_connectivity_y"] = Metric("graph_connectivity_y", METRICS["clisi"].fn, BATCH, ALL)
+METRICS["graph_connectivity_y"] = Metric("graph_connectivity_y", METRICS["clisi_y"].fn, BATCH, ALL)
 
 
 def run_metric(name: str, given: MetricInput, dataset: str = "", file_id: str = "") -> DataFrame:
