@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of one generation of a worker's cache, which holds two, and what an entry takes beside its content.
-CACHED = 72_000_000
+CACHED = 104_000_000
 ENTRY = 170
 
 _PLAIN_WORD = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
