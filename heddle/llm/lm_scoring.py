@@ -218,6 +218,17 @@ def _levels(base: list[Level], kinds: np.ndarray, keys: np.ndarray, n: np.ndarra
     return out
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as their steps, byte plane by byte plane: the high planes are zeros, which compress to nothing."""
+    steps = np.diff(keys.astype(np.uint64), prepend=np.uint64(0))
+    return steps.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64).astype(np.int64)
+
+
 def _asking(docs: DataFrame, order: int, shards: int, size: int) -> DataFrame:
     """Rows of ``docs`` with their ``chunk``; and per chunk and ``shard`` a row with its distinct ``keys``."""
     schema = T.StructType([
@@ -234,7 +245,7 @@ def _asking(docs: DataFrame, order: int, shards: int, size: int) -> DataFrame:
             shard = _shard(keys, shards)
             by = np.argsort(shard, kind="stable")
             own, first = np.unique(shard[by], return_index=True)
-            parts = [p.tobytes() for p in np.split(keys[by], first[1:])]
+            parts = [packed_keys(p) for p in np.split(keys[by], first[1:])]
             return pa.RecordBatch.from_arrays([
                 *[pa.nulls(len(own), t) for t in types], pa.array(np.full(len(own), chunk)), pa.array(own), pa.array(parts, pa.binary()),
             ], schema.names)
@@ -267,7 +278,7 @@ def _priced(asked: DataFrame, pairs: DataFrame, order: int, shards: int) -> Data
     shared = asked.sparkSession.sparkContext.broadcast(base)
 
     def price(counts: pa.Table, wanted: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(k, np.int64) for k in wanted["keys"].to_pylist()]
+        parts = [unpacked_keys(k) for k in wanted["keys"].to_pylist()]
         done = []
         if parts:
             keys, place = np.unique(np.concatenate(parts), return_inverse=True)
@@ -353,8 +364,8 @@ def score(
 
     def run(rows: pa.Table, prices: pa.Table) -> pa.Table:
         keys_, logs_ = shared.value
-        joined = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in prices[c].to_pylist()])
-        asked, cost = joined("keys", np.int64), joined("costs", np.float32)
+        asked = np.concatenate([unpacked_keys(x) for x in prices["keys"].to_pylist()])
+        cost = np.concatenate([np.frombuffer(x, np.float32) for x in prices["costs"].to_pylist()])
         by = np.argsort(asked)
         asked, cost = asked[by], cost[by]
         known: dict[bytes, float] = {}  # NaN: not among the common words
@@ -367,9 +378,10 @@ def score(
             else:
                 known.update(dict.fromkeys(new, math.nan))
 
-        texts, out = rows["text"].to_pylist(), []
-        for a, b in sub_batches(texts, 2_000_000):
-            low = [lowered(t) for t in texts[a:b]]
+        out = []
+        for a, texts in sub_batches(rows["text"].combine_chunks(), 2_000_000):
+            b = a + len(texts)
+            low = [lowered(t) for t in texts]
             split = [[*t.split(), b""] for t in low]
             look_up(list({w for s in split for w in s if w not in known}))
             values = [np.array([known[w] for w in s]) for s in split]
