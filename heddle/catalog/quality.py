@@ -73,13 +73,13 @@ def qc_flow(spark, sf):
 @query("q6_doublet_scores")
 def q6(spark, sf):
     o = view.obs(spark, sf)
-    return r6(qc.doublet_scores(view.x(spark, sf), o, view.var(spark, sf), "sample", n_top=50, n_comps=10), "doublet_score")
+    return r6(qc.doublet_scores(view.x(spark, sf), o, view.var(spark, sf), "sample"), "doublet_score")
 
 
 @query("q7_doublet_votes")
 def q7(spark, sf):
     o = view.obs(spark, sf)
-    out = qc.doublet_votes(view.x(spark, sf), o, view.var(spark, sf), "sample", n_rounds=2, n_top=50, n_comps=10)
+    out = qc.doublet_votes(view.x(spark, sf), o, view.var(spark, sf), "sample")
     return r6(out, "doublet_score", digits=4)
 
 

@@ -454,6 +454,19 @@ def test_doublets_of_mixed_types_score_higher(spark):
     assert s[:10].mean() > 2 * s[10:160].mean()
 
 
+def test_doublets_of_a_batch_do_not_depend_on_the_others(spark):
+    rng = np.random.default_rng(19)
+    dense = rng.poisson(rng.gamma(1.0, 1.5, size=(2, 30)).repeat(110, axis=0)).astype(float)
+    dense[110:] *= 5  # the other batch has other totals and other variable features
+    x = spark.createDataFrame([(int(i), int(g), float(dense[i, g])) for i, g in zip(*np.nonzero(dense))], "cell_id long, gene_id long, value double")
+    obs = spark.createDataFrame([(i, "p" if i < 110 else None) for i in range(220)], "cell_id long, batch string")
+    var = spark.createDataFrame([(g,) for g in range(30)], "gene_id long")
+    both = qc.doublet_scores(x, obs, var, "batch", n_top=12, n_comps=4).toPandas().set_index("cell_id")["doublet_score"]
+    alone = qc.doublet_scores(x.filter("cell_id < 110"), obs.filter("cell_id < 110"), var, "batch", n_top=12, n_comps=4)
+    alone = alone.toPandas().set_index("cell_id")["doublet_score"]
+    assert len(both) == 220 and (both > 0).all() and np.allclose(both[alone.index], alone)
+
+
 def test_transport_is_zero_for_equal_and_grows(spark):
     rows = []
     for s, shares in {"a": [4, 0], "b": [4, 0], "c": [0, 4]}.items():
