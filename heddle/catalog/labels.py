@@ -11,7 +11,7 @@ from heddle.catalog.relational import scratch
 from heddle.catalog.scores import components
 from heddle.catalog.tables import r6
 from heddle.functions.runtime import cut
-from heddle.operators import correct as co, labels as lb, matrix as mx, metrics as mt, samples as sa
+from heddle.operators import correct as co, label_models as lm, labels as lb, matrix as mx, metrics as mt, samples as sa
 from heddle.operators.neighbors import knn
 from heddle.plans import evaluate as ev, integrate as it, registry, view
 from heddle.plans.view import EMB, EMB_DIMS, OBS, VAR, X
@@ -162,6 +162,15 @@ def h5(spark, sf):
     return r6(lb.predict_labels(emb, predict, clusters), "conf_score", digits=4)
 
 
+@query("h5_predict_counts")
+def h5_counts(spark, sf):
+    """A model fitted on one batch's raw counts, stored as rows and applied to all cells by feature name."""
+    o, x, var = view.obs(spark, sf), view.x(spark, sf), view.var(spark, sf)
+    model = lm.fit_count_model(x, var, o.filter("batch <> 'P'"), "label")
+    out = lm.predict_from_counts(x, var, o, model, "orders", "sample")
+    return out.withColumn("orders:conf_score", F.round("`orders:conf_score`", 4))
+
+
 @query("h6_join_predictions", f"WITH {OBS} SELECT cell_id, label AS m1_label, CASE WHEN batch <> 'P' THEN organ END AS m2_label FROM obs")
 def h6(spark, sf):
     o = view.obs(spark, sf)
