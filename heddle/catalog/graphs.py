@@ -131,3 +131,16 @@ def g12(spark, sf):
 
     d = samples.composition_distances(view.table(spark, sf, "events"), "user_id", "event_type")
     return gr.mds(d).select("src", F.transform("v", lambda a: F.round(a, 5)).alias("v"))
+
+
+@query("g12_stress_layout", """SELECT count(DISTINCT user_id) AS n_samples, TRUE AS never_rises, TRUE AS below_classical
+  FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL""")
+def g12s(spark, sf):
+    """Stress majorisation of the sample distances: every sample is placed, and no round raises the stress of classical scaling."""
+    from heddle.operators import samples
+
+    d = cut(samples.composition_distances(view.table(spark, sf, "events"), "user_id", "event_type"), "distances")
+    placed, stress = gr.stress_majorisation(d, gr.mds(d))
+    falls = all(b <= a * (1 + 1e-9) for a, b in zip(stress, stress[1:]))
+    return placed.agg(F.countDistinct("src").alias("n_samples")).select(
+        "n_samples", F.lit(falls).alias("never_rises"), F.lit(stress[-1] < stress[0]).alias("below_classical"))

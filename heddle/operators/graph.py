@@ -433,3 +433,46 @@ def mds(distances: DataFrame, n_dims: int = 2, extra: int = 8, tolerance: float
     coords = [F.get("v", i) * signs[i] for i in range(len(best))] + [F.lit(0.0)] * (n_dims - len(best))
     return found.select("src", F.array(*coords).alias("v"))
 
+
+
+def stress_majorisation(
+    distances: DataFrame, start: DataFrame, tolerance: float = 1e-4, max_rounds: int | None = None
+) -> tuple[DataFrame, list[float]]:
+    """Layout ``src, v`` whose distances approach ``distances`` (``src, dst, dist``), and the stress of every round.
+
+    Metric scaling by Guttman transforms from the layout ``start`` (``src, v``).  A round is
+    one join of the long distance table with the coordinates of both ends and one sum per
+    sample, so stress never rises; it ends when a round takes off less than ``tolerance``
+    of the stress.  Both directions of a pair are averaged; every pair of samples must be
+    there, and a missing one raises.  Pairs that lie on one point do not pull.
+    """
+    n_dims = start.select(F.max(F.size("v"))).first()[0] or 0
+    axes = [f"_x{i}" for i in range(n_dims)]
+    turned = distances.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "dist")
+    pairs = distances.select("src", "dst", "dist").unionByName(turned).filter("src <> dst").groupBy("src", "dst").agg(F.avg("dist").alias("d"))
+    pairs = cut(pairs, "pairs")
+    coords = start.select("src", *[F.get("v", i).alias(a) for i, a in enumerate(axes)])
+    n, n_pairs = coords.count(), pairs.count()
+    if n_pairs != n * (n - 1):
+        raise ValueError(f"{n} samples have {n_pairs} ordered pairs instead of {n * (n - 1)}")
+    history: list[float] = []
+    if n < 2 or not axes:
+        return start.select("src", "v"), history
+    while True:
+        other = coords.select(F.col("src").alias("dst"), *[quoted(a).alias(f"{a}o") for a in axes])
+        gaps = [quoted(a) - quoted(f"{a}o") for a in axes]
+        met = pairs.join(coords, "src").join(other, "dst").withColumn("_z", F.sqrt(sum((g * g for g in gaps), F.lit(0.0))))
+        pull = F.when(F.col("_z") > 0, F.col("d") / F.col("_z")).otherwise(0.0)
+        off = (F.col("d") - F.col("_z")) * (F.col("d") - F.col("_z"))
+        moved = cut(
+            met.groupBy("src").agg(
+                *[(F.sum(pull * g) / n).alias(a) for a, g in zip(axes, gaps)], *[F.first(a).alias(f"{a}was") for a in axes],
+                (F.sum(off) / 2).alias("_stress"),
+            ),
+            "majorised",
+        )
+        history.append(float(moved.agg(F.sum("_stress")).first()[0]))  # of the coordinates this round began with
+        still = len(history) > 1 and history[-2] - history[-1] <= tolerance * history[-2]
+        if still or history[-1] == 0 or (max_rounds is not None and len(history) > max_rounds):
+            return moved.select("src", F.array(*[quoted(f"{a}was") for a in axes]).alias("v")), history
+        coords = moved.select("src", *axes)

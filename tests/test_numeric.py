@@ -546,3 +546,43 @@ def test_mixtures_run_until_the_likelihood_stands_still(spark):
     cov = np.stack([(r[:, c, None] * (x - mu[c])).T @ (x - mu[c]) / n[c] + 1e-4 * np.eye(2) for c in range(2)])
     again = sa._total(sa._log_density(x, n / n.sum(), mu, cov)).mean()
     assert abs(again - likelihood(default)) < 1e-3
+
+
+def test_stress_majorisation_matches_its_numpy_twin(spark):
+    rng = np.random.default_rng(23)
+    d = np.sqrt(((rng.normal(size=(14, 5))[:, None] - rng.normal(size=(14, 5))[None]) ** 2).sum(-1))
+    d = (d + d.T) / 2
+    np.fill_diagonal(d, 0)
+    z = rng.normal(size=(14, 2))
+    z[1] = z[0]  # two samples on one point
+    pairs = spark.createDataFrame([(i, j, float(d[i, j])) for i in range(14) for j in range(14)], "src long, dst long, dist double")
+    start = spark.createDataFrame([(i, [float(a) for a in z[i]]) for i in range(14)], "src long, v array<double>")
+    placed, stress = gr.stress_majorisation(pairs, start, max_rounds=2)
+    for expected in stress:
+        gap = np.sqrt(((z[:, None] - z[None]) ** 2).sum(-1))
+        assert np.isclose(expected, ((d - gap) ** 2).sum() / 2)
+        last, pull = z, np.divide(d, gap, out=np.zeros_like(d), where=gap > 0)
+        z = (pull[:, :, None] * (z[:, None] - z[None])).sum(1) / 14
+    assert all(b <= a for a, b in zip(stress, stress[1:])) and len(stress) == 3
+    got = {r["src"]: r["v"] for r in placed.collect()}
+    assert np.allclose([got[i] for i in range(14)], last)
+    with pytest.raises(ValueError, match="ordered pairs"):
+        gr.stress_majorisation(pairs.filter("src <> 3 AND dst <> 3"), start)
+    none, history = gr.stress_majorisation(pairs.limit(0), start.limit(0))
+    assert none.count() == 0 and history == []
+
+
+def test_transport_is_certified_against_the_line():
+    """On a line the optimum is the area between the two distribution functions."""
+    from heddle.operators.transport import certified_transport
+
+    rng = np.random.default_rng(29)
+    place = np.sort(rng.random(9))
+    cost = np.abs(place[:, None] - place[None]) / np.ptp(place)
+    a, b = rng.dirichlet(np.full(9, 0.3), 60), rng.dirichlet(np.full(9, 0.3), 60)
+    a[0], b[0], a[1], b[1], b[2] = np.eye(9)[0], np.eye(9)[8], a[3], a[3], np.eye(9)[4]
+    exact = (np.abs(np.cumsum(a - b, axis=1))[:, :-1] * np.diff(place)).sum(1) / np.ptp(place)
+    for tolerance in (1e-2, 1e-4):
+        price, gap = certified_transport(a, b, cost, tolerance)
+        assert (gap <= tolerance).all() and (price >= exact - 1e-9).all() and (price - exact <= gap + 1e-9).all()
+    assert np.isclose(price[0], 1) and len(certified_transport(a[:0], b[:0], cost, 1e-3)[0]) == 0
