@@ -79,7 +79,7 @@ def q6(spark, sf):
 @query("q7_doublet_votes")
 def q7(spark, sf):
     o = view.obs(spark, sf)
-    out = qc.doublet_votes(view.x(spark, sf), o, view.var(spark, sf), "sample")
+    out = qc.doublet_votes(view.x(spark, sf), o, view.var(spark, sf), "sample", n_rounds=2)
     return r6(out, "doublet_score", digits=4)
 
 
@@ -284,7 +284,20 @@ def r4(spark, sf):
 @query("r5_transport_distances")
 def r5(spark, sf):
     emb = view.emb(spark, sf).withColumn("s", F.col("cell_id") % 7)
-    return r6(sa.transport_distances(emb, "s", "label"), "dist", digits=5)
+    return r6(sa.transport_distances(emb, "s", "label").drop("gap"), "dist", digits=5)
+
+
+@query("r5_transport_certified", f"""WITH {EMB} SELECT DISTINCT a.s AS src, b.s AS dst, TRUE AS certified, TRUE AS symmetric, a.s = b.s AS same
+  FROM (SELECT DISTINCT cell_id % 7 AS s FROM emb WHERE label IS NOT NULL) a, (SELECT DISTINCT cell_id % 7 AS s FROM emb WHERE label IS NOT NULL) b""")
+def r5_certified(spark, sf):
+    """Every pair is within the tolerance of the optimum, so both directions agree and a sample is at no distance from itself."""
+    emb = view.emb(spark, sf).withColumn("s", F.col("cell_id") % 7)
+    d = cut(sa.transport_distances(emb, "s", "label"), "transport")
+    back = d.select(F.col("src").alias("dst"), F.col("dst").alias("src"), F.col("dist").alias("_back"), F.col("gap").alias("_gap"))
+    return d.join(back, ["src", "dst"]).select(
+        "src", "dst", (F.col("gap") <= 1e-3).alias("certified"),
+        (F.abs(F.col("dist") - F.col("_back")) <= F.greatest("gap", "_gap") + 1e-12).alias("symmetric"), (F.col("dist") <= 1e-3).alias("same"),
+    )
 
 
 @query("r6_density_distances")

@@ -18,6 +18,7 @@ from heddle.operators.aggregate import group_sizes, pseudobulk
 from heddle.operators.graph import connectivities
 from heddle.operators.matrix import densify, feature_index
 from heddle.operators.neighbors import block_distances, pairwise_blocks
+from heddle.operators.transport import certified_transport
 from heddle.operators.window import first_n
 
 MAX_TYPES = 2_000
@@ -137,33 +138,30 @@ def cell_type_distances(emb: DataFrame, sample: str, cell_type: str) -> DataFram
     return out.withColumn("dist", F.when(~F.isnan("dist"), F.col("dist")))
 
 
-def transport_distances(emb: DataFrame, sample: str, cell_type: str, reg: float = 0.1, rounds: int = 200) -> DataFrame:
-    """Entropic transport cost between type compositions; cost = centroid distance."""
+def transport_distances(emb: DataFrame, sample: str, cell_type: str, tolerance: float = 1e-3) -> DataFrame:
+    """Transport cost between type compositions (``src, dst, dist, gap``); cost = centroid distance, the largest being 1.
+
+    ``dist`` is the cost of a real transport plan and at most ``gap`` above the cheapest
+    one; every pair is iterated until its ``gap`` is at most ``tolerance``.
+    """
     types = _type_index(emb, cell_type)
     centroids = mean_vectors(drop_missing(emb, [cell_type]), cell_type).select(quoted(cell_type).cast("string").alias("t"), "v").toPandas()
     at = {t: np.asarray(v) for t, v in zip(centroids["t"], centroids["v"])}
-    points = np.stack([at[t] for t in types])
-    cost = block_distances(points, points)
-    cost = cost / cost.max() if cost.max() > 0 else cost
-    kernel = np.exp(-cost / reg)
+    cost = block_distances(*[np.stack([at[t] for t in types])] * 2) if types else np.zeros((0, 0))
+    cost = cost / cost.max() if cost.size and cost.max() > 0 else cost
     rows = cut(compositions(emb, sample, cell_type), "composition")
     id_type = rows.schema["cell_id"].dataType.simpleString()
 
     def block(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if len(p) == 0 or len(q) == 0:
-            return _pairs(p, q, None)
+            return _pairs(p, q, None).assign(gap=[])
         a, b = np.stack(p["v"]), np.stack(q["v"])
-        dist = np.empty((len(a), len(b)))
+        price, gap = np.empty((len(a), len(b))), np.empty((len(a), len(b)))
         for i in range(len(a)):
-            source = np.repeat(a[i : i + 1], len(b), axis=0)
-            v = np.ones_like(b)
-            for _ in range(rounds):
-                u = source / np.maximum(v @ kernel.T, 1e-300)
-                v = b / np.maximum(u @ kernel, 1e-300)
-            dist[i] = (u * (v @ (kernel * cost).T)).sum(axis=1)
-        return _pairs(p, q, dist)
+            price[i], gap[i] = certified_transport(np.repeat(a[i : i + 1], len(b), axis=0), b, cost, tolerance)
+        return _pairs(p, q, price).assign(gap=gap.ravel())
 
-    return pairwise_blocks(rows, rows, block, f"src {id_type}, dst {id_type}, dist double", block_rows=256)
+    return pairwise_blocks(rows, rows, block, f"src {id_type}, dst {id_type}, dist double, gap double", block_rows=256)
 
 
 def fit_sample_mixtures(
