@@ -11,7 +11,7 @@ from heddle.catalog.relational import scratch
 from heddle.catalog.scores import components
 from heddle.catalog.tables import r6
 from heddle.functions.runtime import cut
-from heddle.operators import correct as co, label_models as lm, labels as lb, matrix as mx, metrics as mt, samples as sa
+from heddle.operators import correct as co, label_models as lm, labels as lb, matrix as mx, metrics as mt, relations as rl, samples as sa
 from heddle.operators.neighbors import knn
 from heddle.plans import evaluate as ev, integrate as it, registry, view
 from heddle.plans.view import EMB, EMB_DIMS, OBS, VAR, X
@@ -147,6 +147,42 @@ def h3b(spark, sf):
     return r6(distances, "dist")
 
 
+NEAREST = f"""{EMB_DIMS}, m AS (SELECT label, dim, avg(val) AS c FROM dims WHERE batch = '1' GROUP BY 1, 2),
+  d AS (SELECT x.cell_id, x.label, m.label AS nearest, sum((x.val - m.c) ** 2) AS d FROM dims x JOIN m USING (dim) WHERE x.batch = '0' GROUP BY 1, 2, 3),
+  n AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY cell_id ORDER BY d, nearest) = 1)"""
+
+
+@query("h3_assignment_shares", f"""WITH {NEAREST}, c AS (SELECT label, nearest, count(*) AS n FROM n GROUP BY 1, 2)
+  SELECT label, nearest, n, round(n / sum(n) OVER (PARTITION BY label), 6) AS share FROM c""")
+def h3c(spark, sf):
+    """Shares in which the labels of one dataset lie nearest to those of another."""
+    emb = cut(view.emb(spark, sf), "emb")
+    centres = sa.mean_vectors(emb.filter("batch = '1'"), "label").select("label", "v")
+    return r6(rl.assignment_shares(rl.nearest_labels(emb.filter("batch = '0'"), centres), "label", "nearest"), "share")
+
+
+@query("h3_relations")
+def h3d(spark, sf):
+    """Every row with its group of the lowest level, after all datasets have been put in relation."""
+    rows, _, _ = rl.harmonise_labels(view.emb(spark, sf), "batch", "label")
+    return rows
+
+
+@query("h3_relation_rules", """SELECT 'rows' AS rule, count(*) AS n FROM embeddings WHERE label IS NOT NULL
+  UNION ALL SELECT 'pairs whose two ends have others', 0 UNION ALL SELECT 'pairs below the limits', 0""")
+def h3e(spark, sf):
+    """Every row has one group, relations are stars and keep to their limits."""
+    rows, _, steps = rl.harmonise_labels(view.emb(spark, sf), "batch", "label")
+    ends = steps.select("step", "a", "b", "forward", "backward").join(steps.groupBy("step", "a").agg(F.count(F.lit(1)).alias("na")), ["step", "a"]).join(
+        steps.groupBy("step", "b").agg(F.count(F.lit(1)).alias("nb")), ["step", "b"])
+    counted = lambda f, rule: f.agg(F.count(F.lit(1)).alias("n")).select(F.lit(rule).alias("rule"), "n")
+    return (
+        counted(rows.select("cell_id").distinct(), "rows")
+        .unionByName(counted(ends.filter("na > 1 AND nb > 1"), "pairs whose two ends have others"))
+        .unionByName(counted(ends.filter("greatest(forward, backward) < 0.4 OR least(forward, backward) <= 0.05"), "pairs below the limits"))
+    )
+
+
 @query("h4_category_differences", """SELECT 'en' AS label, 'renamed' AS "column", 'missing' AS side FROM documents WHERE lang = 'en' GROUP BY lang
   UNION ALL SELECT 'english', 'renamed', 'extra' FROM documents WHERE lang = 'en' GROUP BY lang""")
 def h4(spark, sf):
