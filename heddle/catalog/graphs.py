@@ -94,18 +94,12 @@ def g6b(spark, sf):
     return gr.add_clusters(view.emb(spark, sf).select("cell_id", "label"), weights(spark, sf), [1.0], "louvain")
 
 
-@query("g6_leiden_levels")
-def g6c(spark, sf):
-    """Communities refined on every level, at two resolutions."""
-    return cm.leiden(weights(spark, sf), [0.5, 1.0])
-
-
-@query("g6_leiden_rules", """SELECT 'rows' AS rule, 2 * count(*) AS n FROM embeddings
+@query("g6_leiden_rules", """SELECT 'rows' AS rule, count(*) AS n FROM embeddings
   UNION ALL SELECT 'communities in parts', 0 UNION ALL SELECT 'moves that gain', 0""")
 def g6d(spark, sf):
-    """Every row has a community at each resolution, all are connected, and no single move gains."""
+    """Every row has a community, all are connected, and no single move gains."""
     graph = weights(spark, sf)
-    found = cut(cm.leiden(graph, [0.5, 1.0]), "found")
+    found = cut(cm.leiden(graph), "found")
     broken, moves = cm.cluster_faults(graph, found)
     counted = lambda f, rule: f.agg(F.count(F.lit(1)).alias("n")).select(F.lit(rule).alias("rule"), "n")
     return (

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from heddle.functions.ordering import running_index
-from heddle.functions.runtime import cut
+from heddle.functions.runtime import cut, quoted
 from heddle.operators.graph import connected_components, merge_round, refine_rounds
 
 #: A move or merge gains when it adds more than this weight.
@@ -52,33 +52,56 @@ def settle(edges: DataFrame, state: DataFrame, run: Sequence[str] = (), tag: str
     A row that leaves all communities founds one named by row, ``tag`` and round, so ``tag``
     must differ between calls that build on one another.
 
-    In a round a community takes part in one move at most, the one of largest rise among
-    those that leave or enter it.  Such moves touch different communities, so their rises
-    add up and modularity rises in every round, for each run.
+    Two kinds of rounds take turns, and in both modularity rises for each run.  In the first,
+    rows move from tails to heads (coins of the communities).  Links between such rows only
+    help; their sizes hurt by at most ``gamma * k * other k / m2`` for each other row that
+    leaves the same community or enters the same one, so a row goes if it rises by more than
+    all of them together could cost it.  In the second a community takes part in one move at
+    most, the one of largest rise among those that leave or enter it: their rises add up, and
+    it ends when there is none.
     """
     run = list(run)
+    sizes = state.select(*run, "node", "k", "gamma", "m2")
     state = cut(state.withColumn("comm", F.col("comm").cast("string")), "settle")
     for step in count():
         rise = move_gains(edges, state, run).filter(F.col("rise") > MIN_GAIN)
         alone = F.concat_ws("#", F.col("node").cast("string"), F.lit(f"{tag}{step}"))
-        choice = F.struct((-F.col("rise")).alias("r"), F.col("node").alias("node"), F.coalesce("to", alone).alias("to"))
+        choice = F.struct((-F.col("rise")).alias("r"), F.col("node").alias("node"), F.coalesce("to", alone).alias("to"), F.col("to").isNull().alias("alone"))
         wants = cut(rise.groupBy(*run, "node", "comm").agg(F.min(choice).alias("_m")), "wants")
-        leave = wants.select(*run, F.col("comm").alias("_c"), "_m")
-        enter = wants.select(*run, F.col("_m")["to"].alias("_c"), "_m")
-        first = leave.unionByName(enter).groupBy(*run, "_c").agg(F.min("_m").alias("_f"))
-        goes = (
-            wants.withColumn("_to", F.col("_m")["to"])
-            .join(first.withColumnsRenamed({"_c": "comm", "_f": "_a"}), [*run, "comm"])
-            .join(first.withColumnsRenamed({"_c": "_to", "_f": "_b"}), [*run, "_to"])
-            .filter("_m = _a AND _m = _b").select(*run, "node", "_to")
-        )
+        goes = _bulk(wants, sizes, run, f"{tag}{step}") if step % 2 == 0 else _apart(wants, run)
         seen = Observation()
         moved = state.join(goes, [*run, "node"], "left").observe(seen, F.count("_to").alias("n"))
         state = cut(moved.withColumn("comm", F.coalesce("_to", "comm")).drop("_to"), "settle")
-        if not seen.get["n"]:
+        if step % 2 and not seen.get["n"]:
             return state
 
 
+def _bulk(wants: DataFrame, sizes: DataFrame, run: Sequence[str], coin: str) -> DataFrame:
+    """Moves from tails to heads that rise whatever the other ones cost them."""
+    head = lambda c: F.pmod(F.xxhash64(F.lit(coin), *[quoted(k) for k in run], c), F.lit(2)) == 1
+    to = F.col("_m")["to"]
+    able = wants.filter(~head(F.col("comm")) & (F.col("_m")["alone"] | head(to))).join(sizes, [*run, "node"])
+    able = able.withColumn("_to", to)
+    leaving = able.groupBy(*run, "comm").agg(F.sum("k").alias("_l"))
+    entering = able.groupBy(*run, "_to").agg(F.sum("k").alias("_e"))
+    cost = F.col("gamma") * F.col("k") * (F.col("_l") + F.col("_e") - 2 * F.col("k")) / F.col("m2")
+    met = able.join(leaving, [*run, "comm"]).join(entering, [*run, "_to"])
+    return met.filter(-F.col("_m")["r"] > cost).select(*run, "node", "_to")
+
+
+def _apart(wants: DataFrame, run: Sequence[str]) -> DataFrame:
+    """The moves that are the best of both their communities."""
+    leave = wants.select(*run, F.col("comm").alias("_c"), "_m")
+    enter = wants.select(*run, F.col("_m")["to"].alias("_c"), "_m")
+    first = leave.unionByName(enter).groupBy(*run, "_c").agg(F.min("_m").alias("_f"))
+    return (
+        wants.withColumn("_to", F.col("_m")["to"])
+        .join(first.withColumnsRenamed({"_c": "comm", "_f": "_a"}), [*run, "comm"])
+        .join(first.withColumnsRenamed({"_c": "_to", "_f": "_b"}), [*run, "_to"])
+        .filter("_m = _a AND _m = _b").select(*run, "node", "_to")
+    )
+
+
 def refine_inside(edges: DataFrame, state: DataFrame, run: Sequence[str] = ()) -> DataFrame:
     """``run..., node, part``: parts of each community by merges inside it.
 
@@ -137,7 +160,7 @@ def resolved(edges: DataFrame, resolutions: Sequence[float], run: Sequence[str]
 
 
 def leiden(
-    edges: DataFrame, resolutions: Sequence[float] = (1.0,), run: Sequence[str] = (), tolerance: float = 1e-3
+    edges: DataFrame, resolutions: Sequence[float] = (1.0,), run: Sequence[str] = (), tolerance: float = 1e-2
 ) -> DataFrame:
     """Communities of a symmetric graph ``run..., src, dst, weight``, all resolutions and runs in one job.
 
