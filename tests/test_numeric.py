@@ -58,6 +58,31 @@ def test_knn_small_pieces(spark, monkeypatch):
     assert as_lists(nb.knn(embed(spark, v), 4, direct_rows=0)) == brute_knn(v, 4)
 
 
+@pytest.mark.parametrize("cells", [64, 1 << 16])
+def test_knn_in_many_dimensions_by_blocks(spark, monkeypatch, cells):
+    monkeypatch.setattr(nb, "VISIT_CELLS", cells)
+    monkeypatch.setattr(nb, "PIECE_ROWS", 16)
+    monkeypatch.setattr(nb, "BLOCK_ROWS", 32)
+    rng = np.random.default_rng(17)
+    v = rng.normal(size=(300, 12))
+    v[200:220] = v[4]
+    label = [f"l{a}" for a in rng.integers(0, 2, 300)]
+    emb = embed(spark, v, label=label)
+    assert as_lists(nb.knn(emb, 5, same="label", direct_rows=0)) == brute_knn(v, 5, lambda i, j: label[i] == label[j])
+    assert as_lists(nb.knn(emb, 5, direct_rows=0)) == brute_knn(v, 5)
+
+
+def test_visits_leave_in_bounded_parts():
+    """One batch of rows in many dimensions visits most regions; no part sent on holds them all."""
+    rng = np.random.default_rng(18)
+    pivots = pd.DataFrame({"_key": "", "cell": [f"p{i}" for i in range(256)], "v": list(rng.normal(size=(256, 32)))})
+    stats = pd.DataFrame({"_key": "", "cell": pivots["cell"], "n": 40.0, "radius": 9.0})
+    regions = nb.Regions(pivots).with_sizes(stats)
+    rows = pd.DataFrame({"qid": range(2000), "_key": "", "v": list(rng.normal(size=(2000, 32))), "bound": 9.0})
+    sizes = [len(part) for part in nb._visits(regions, 15, True)(iter([rows]))]
+    assert sum(sizes) > 400_000 and max(sizes) <= 1 << 16
+
+
 @pytest.mark.parametrize("direct_rows", [0, 1024])
 def test_knn_same_and_each(spark, blobs, direct_rows):
     v, label, batch = blobs
