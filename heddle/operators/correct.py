@@ -17,6 +17,7 @@ from heddle.operators import matrix as mx
 from heddle.operators.graph import connectivities
 from heddle.operators.neighbors import knn, pairwise_blocks
 
+SHIFT_ROWS = 8192
 MAX_GROUPS = 10_000
 
 
@@ -325,13 +326,19 @@ def smoothed_shifts(rows: DataFrame, anchored: DataFrame, sigma: float) -> DataF
     def block(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if len(p) == 0 or len(q) == 0:
             return pd.DataFrame({"src": [], "least": [], "w": [], "s": []})
-        a, b = np.stack(p["v"]), np.stack(q["v"])
-        squares = np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1) - 2 * a @ b.T, 0)
-        least = squares.min(axis=1)
-        w = np.exp(-0.5 * sigma * (squares - least[:, None]))
-        return pd.DataFrame({"src": p["cell_id"], "least": least, "w": w.sum(axis=1), "s": list(w @ np.stack(q["shift"]))})
-
-    parts = cut(pairwise_blocks(rows, anchored, block, f"src {id_type}, least double, w double, s array<double>"), "shifts")
+        a, b, shift = np.stack(p["v"]), np.stack(q["v"]), np.stack(q["shift"])
+        b2, least, weight, moved = (b * b).sum(1), np.empty(len(a)), np.empty(len(a)), np.empty((len(a), shift.shape[1]))
+        step = max(1, (1 << 21) // len(b))
+        for at in range(0, len(a), step):
+            part = slice(at, at + step)
+            squares = np.maximum((a[part] * a[part]).sum(1)[:, None] + b2 - 2 * a[part] @ b.T, 0)
+            least[part] = squares.min(axis=1)
+            w = np.exp(-0.5 * sigma * (squares - least[part, None]))
+            weight[part], moved[part] = w.sum(axis=1), w @ shift
+        return pd.DataFrame({"src": p["cell_id"], "least": least, "w": weight, "s": list(moved)})
+
+    schema = f"src {id_type}, least double, w double, s array<double>"
+    parts = cut(pairwise_blocks(rows, anchored, block, schema, block_rows=SHIFT_ROWS), "shifts")
     nearest = parts.groupBy("src").agg(F.min("least").alias("_least"))
     scale = F.exp(-0.5 * sigma * (F.col("least") - F.col("_least")))
     scaled = parts.join(nearest, "src").withColumn("_scale", scale)

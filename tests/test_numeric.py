@@ -303,6 +303,20 @@ def test_harmony_removes_a_shift(spark, blobs):
     assert after < 0.3 * before
 
 
+def test_smoothed_shifts_send_few_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(19)
+    v, anchors, shift = rng.normal(size=(3000, 2)), rng.normal(size=(2500, 2)), rng.normal(size=(2500, 2))
+    made, kept = [], co.cut
+    monkeypatch.setattr(co, "cut", lambda df, tag="stage": made.append(kept(df, tag)) or made[-1])
+    rows = [(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(zip(anchors, shift))]
+    got = co.smoothed_shifts(embed(spark, v), spark.createDataFrame(rows, "cell_id long, v array<double>, shift array<double>"), 15.0)
+    got = np.stack([r["_move"] for r in got.orderBy("src").collect()])
+    squares = ((v[:, None] - anchors) ** 2).sum(-1)
+    w = np.exp(-7.5 * (squares - squares.min(axis=1, keepdims=True)))
+    assert np.allclose(got, w @ shift / w.sum(axis=1, keepdims=True))
+    assert made[0].count() == len(v)  # one part per row and block of anchors
+
+
 def test_panorama_reduces_a_shift(spark, blobs):
     v, label, batch = blobs
     shifted = v + np.where(np.array(batch) == "1", 1.5, 0.0)[:, None] * np.array([0, 0, 0, 1]) + 5
