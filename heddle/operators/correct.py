@@ -338,7 +338,7 @@ def smoothed_shifts(rows: DataFrame, anchored: DataFrame, sigma: float) -> DataF
         return pd.DataFrame({"src": p["cell_id"], "least": least, "w": weight, "s": list(moved)})
 
     schema = f"src {id_type}, least double, w double, s array<double>"
-    parts = cut(pairwise_blocks(rows, anchored, block, schema, block_rows=SHIFT_ROWS), "shifts")
+    parts = cut(pairwise_blocks(rows, anchored, block, schema, block_rows=SHIFT_ROWS, spread=True), "shifts")
     nearest = parts.groupBy("src").agg(F.min("least").alias("_least"))
     scale = F.exp(-0.5 * sigma * (F.col("least") - F.col("_least")))
     scaled = parts.join(nearest, "src").withColumn("_scale", scale)

@@ -303,6 +303,38 @@ def test_harmony_removes_a_shift(spark, blobs):
     assert after < 0.3 * before
 
 
+def compositions_of_few_events(spark):
+    rng = np.random.default_rng(20)
+    rows = [(int(u), f"t{t}") for u in range(70) for t in rng.integers(0, 3, 4)]
+    return spark.createDataFrame(rows, "s long, t string")
+
+
+def test_nearest_compositions_keep_ties_and_leave_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(sa, "BLOCK_ROWS", 32)
+    events = compositions_of_few_events(spark)
+    want = sa.composition_distances(events, "s", "t").withColumn("dist", F.round("dist", 9))
+    few = sa.composition_distances(events, "s", "t", nearest=5)
+    got = few.withColumn("dist", F.round("dist", 9))
+    assert few.count() <= 70 * 3 * 5  # five from each block, not all 4900 pairs
+    as_rows = lambda d: sorted(tuple(r) for r in sa.neighbors_from_distances(d, 6).select("src", "dst", "dist").collect())
+    assert as_rows(got) == as_rows(want)
+
+
+def test_counted_distances_give_the_histogram_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(sa, "BLOCK_ROWS", 32)
+    events = compositions_of_few_events(spark)
+    want = ag.distance_histogram(sa.composition_distances(events, "s", "t").withColumn("dist", F.round("dist", 9)), 20)
+    few = sa.composition_distances(events, "s", "t", bins=20)
+    assert few.count() <= 9 * 21
+    assert sorted(map(tuple, ag.distance_histogram(few, 20, weight="n").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_rounding_of_distances_is_that_of_spark(spark):
+    x = np.array([0.0, 1.5e-9, 2.5e-9, 0.1234567895, 0.1234567885, 1.4142135623730951, 0.3, 0.0000000005])
+    want = [r[0] for r in spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i int, v double").orderBy("i").select(F.round("v", 9)).collect()]
+    assert sa.rounded_like_spark(x, 9).tolist() == want
+
+
 def test_smoothed_shifts_send_few_blocks(spark, monkeypatch):
     rng = np.random.default_rng(19)
     v, anchors, shift = rng.normal(size=(3000, 2)), rng.normal(size=(2500, 2)), rng.normal(size=(2500, 2))
