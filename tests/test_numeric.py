@@ -303,6 +303,20 @@ def test_harmony_removes_a_shift(spark, blobs):
     assert after < 0.3 * before
 
 
+def test_scale_joins_nothing_to_its_dense_rows(spark):
+    x = spark.createDataFrame([(0, 0, 2.0), (1, 0, 4.0), (1, 1, 1.0)], "cell_id long, gene_id long, value double")
+    cells = spark.createDataFrame([(0,), (1,), (2,)], "cell_id long")
+    features = spark.createDataFrame([(0,), (1,), (5,)], "gene_id long")
+    out = mx.scale(x, cells, features)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Generate") < plan.index("Join")  # from the top down
+    got = {(r["cell_id"], r["gene_id"]): r["value"] for r in out.collect()}
+    dense = np.array([[2.0, 0, 0], [4, 1, 0], [0, 0, 0]])
+    sd = dense.std(axis=0, ddof=1)
+    want = (dense - dense.mean(axis=0)) / np.where(sd > 0, sd, 1)
+    assert len(got) == 9 and all(abs(got[i, g] - want[i, j]) < 1e-12 for i in range(3) for j, g in enumerate((0, 1, 5)))
+
+
 def compositions_of_few_events(spark):
     rng = np.random.default_rng(20)
     rows = [(int(u), f"t{t}") for u in range(70) for t in rng.integers(0, 3, 4)]
