@@ -317,6 +317,17 @@ def test_scale_joins_nothing_to_its_dense_rows(spark):
     assert len(got) == 9 and all(abs(got[i, g] - want[i, j]) < 1e-12 for i in range(3) for j, g in enumerate((0, 1, 5)))
 
 
+def test_set_scores_broadcast_nothing_by_feature(spark):
+    x = spark.createDataFrame([(i, g, float(1 + (i * g) % 3)) for i in range(6) for g in range(12) if (i + g) % 2], "cell_id long, gene_id long, value double")
+    var = spark.createDataFrame([(g,) for g in range(12)], "gene_id long")
+    sets = spark.createDataFrame([("a", g) for g in range(4)] + [("b", g) for g in range(3, 8)], "set_id string, gene_id long")
+    out = mx.score_sets(x, x.select("cell_id").distinct(), var, sets)
+    plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    joins = [line for line in plan if "gene_id" in line and ("HashJoin" in line or "MergeJoin" in line)]
+    assert joins and not any("Broadcast" in line for line in joins)
+    assert out.count() == 12
+
+
 def compositions_of_few_events(spark):
     rng = np.random.default_rng(20)
     rows = [(int(u), f"t{t}") for u in range(70) for t in rng.integers(0, 3, 4)]
