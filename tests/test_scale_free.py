@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from heddle.operators import components, descent, matrix as mx, neighbors, paths
+from heddle.operators import components, descent, graph as gr, matrix as mx, neighbors, paths, samples
 
 
 @pytest.fixture(scope="module")
@@ -92,3 +92,35 @@ def test_descent_finds_most_neighbours(spark):
     got = found.collect()
     assert len(got) == 7000 and all(abs(r.dist - np.linalg.norm(v[r.src] - v[r.dst])) < 1e-9 and r.src != r.dst for r in got)
     assert descent.knn_descent(emb.limit(1), 3).count() == 0
+
+
+def test_layouts_of_vectors_write_no_pairs(spark, monkeypatch):
+    """Classical scaling and stress majorisation of vectors are those of their written distances, block by block."""
+    rng = np.random.default_rng(31)
+    v = rng.dirichlet(np.ones(4), 60)
+    v[7] = v[3]  # two samples on one point
+    rows = spark.createDataFrame([(i, [float(a) for a in v[i]]) for i in range(60)], "cell_id long, v array<double>")
+    written = samples.distance_matrix(rows)
+    start, start_of = gr.mds(written), lambda d: {r.src: r.v for r in d.collect()}
+    placed, stress = gr.stress_majorisation(written, start, max_rounds=2)
+    sizes, kept = [], gr.cut
+
+    def counted(df, tag="stage"):
+        out = kept(df, tag)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(gr, "cut", counted)
+    pairs = neighbors.EuclideanPairs(rows)
+    own = gr.mds(pairs)
+    a, b = start_of(start), start_of(own)
+    assert a.keys() == b.keys() and all(np.allclose(a[i], b[i], atol=1e-7) for i in a)
+    for block_rows in (17, 1000):
+        moved, falls = gr.stress_majorisation(pairs, start, max_rounds=2, block_rows=block_rows)
+        a, b = start_of(placed), start_of(moved)
+        assert np.allclose(stress, falls) and a.keys() == b.keys() and all(np.allclose(a[i], b[i]) for i in a)
+    assert max(sizes) <= 60
+    with pytest.raises(ValueError, match="coordinates"):
+        gr.stress_majorisation(pairs, start.filter("src <> 3"))
+    none, history = gr.stress_majorisation(neighbors.EuclideanPairs(rows.limit(0)), gr.mds(neighbors.EuclideanPairs(rows.limit(0))))
+    assert none.count() == 0 and history == []
