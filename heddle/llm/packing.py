@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from heddle.functions.runtime import cut, quoted
 from heddle.llm.token_files import crc32
-from heddle.llm.tokens import encoder, sub_batches
+from heddle.llm.tokens import encoder, slices
 
 WINDOW = 1024
 OPEN = 64
@@ -111,7 +111,7 @@ def place(docs: DataFrame, path: str, end_id: int, size: int, open_windows: int,
         for batch in batches:
             id_type = batch.column(0).type
             keys = batch.column(0).to_pylist()
-            for first, texts in sub_batches(batch.column(1)):
+            for first, texts in slices(batch.column(1)):
                 for key, ids in zip(keys[first:], own.encode(texts)):
                     ids = np.concatenate([ids, end])
                     pieces, emitted = state.place(len(ids))

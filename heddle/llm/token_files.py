@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from heddle.functions.runtime import quoted, shared_dir
 from heddle.llm.common import id_bounds
-from heddle.llm.tokens import encoder, sub_batches
+from heddle.llm.tokens import encoder, slices
 
 #: Ids per word and bits per id by selector; 0 is the escape, 1 a run of zeros.
 COUNTS = (1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
@@ -116,7 +116,7 @@ def _encoded(docs: DataFrame, path: str, end_id: int, bounds: list) -> DataFrame
         wide = max(own.library.get_vocab_size(), end_id) > 1 << 16
         end = np.array([end_id], "<u4")
         for batch in batches:
-            for first, texts in sub_batches(batch.column(1)):
+            for first, texts in slices(batch.column(1)):
                 keys = batch.column(0).slice(first, len(texts))
                 ids = [np.concatenate([x, end]).astype("<u4" if wide else "<u2").tobytes() for x in own.encode(texts)]
                 shard = [0 if k is None else int(np.searchsorted(limits, k)) for k in keys.to_pylist()]

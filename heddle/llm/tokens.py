@@ -21,8 +21,11 @@ ENTRY = 170
 
 _PLAIN_WORD = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _PLAIN_CHUNK = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-#: Blanks other than a space or a line end, and the mark below: such a text goes to the library whole.
-_RARE = re.compile("[\x00\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Blanks in a row, other blanks and the mark below: such a text goes to the library whole.
+_RARE = (
+    r"  | \n|\n |\n\n|"
+    r"[\x00\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 #: Marks a cut without a space in front.
 _FIRST = "\x00"
 _PROBES = ["the", " the", "straße", "façade", " Über", "zoology"]
@@ -145,44 +148,69 @@ class PieceEncoder:
             young[key] = young["\n"] + (young[_FIRST + key[1:]] if len(key) > 1 else b"")
         self.known.held += len(new) * (ENTRY + 8) + sum(map(len, new))
 
-    def _cut(self, text: str) -> list | None:
-        """Cuts whose ids, one after another, are those of the text; None if it must stay whole."""
-        if self.marked in text and self.markers and any(m in text.lower() for m in self.markers):
-            return None
+    def _whole_ones(self, texts: pa.Array) -> np.ndarray:
+        """Which texts go to the library whole."""
+        flags = lambda found: found.to_numpy(zero_copy_only=False).astype(bool)
+        whole = np.zeros(len(texts), bool)
+        for i in np.flatnonzero(flags(pc.match_substring(texts, self.marked))).tolist() if self.markers else []:
+            low = texts[i].as_py().lower()
+            whole[i] = any(m in low for m in self.markers)
+        return whole if self.drops_blanks else whole | flags(pc.match_substring_regex(texts, _RARE))
+
+    def _cuts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Cuts whose ids, one after another, are those of the texts; their number per text, and which ones are nothing."""
         if self.drops_blanks:
-            raw = text.encode("utf-8", "surrogatepass")
-            return (raw.lower() if self.folds_case else raw).split()
-        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or _RARE.search(text):
-            return None
-        chunks = text.replace("\n", " \n").split(" ")
-        # a cut stands for itself with the space in front, but for the first and line ends
-        if chunks[0][:1] not in ("", "\n"):
-            chunks[0] = _FIRST + chunks[0]
-        elif not chunks[0]:
-            del chunks[0]
-        return chunks
-
-    def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
-        """One array of 32-bit ids per text; a NULL text is empty."""
-        texts = [t or "" for t in texts]
-        cuts = [self._cut(t) for t in texts]
+            low = pc.ascii_lower(texts) if self.folds_case else texts
+            lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(low))
+            flat = lists.flatten()
+            nothing = np.flatnonzero(pc.binary_length(flat).to_numpy() == 0)
+        else:
+            # a cut stands for itself with the space in front, but for the first and line ends
+            apart = pc.replace_substring(texts, "\n", " \n")
+            bare = pc.or_(pc.starts_with(apart, " "), pc.equal(apart, ""))
+            mark = pc.if_else(bare, pa.scalar("", apart.type), pa.scalar(_FIRST, apart.type))
+            lists = pc.split_pattern(pc.binary_join_element_wise(mark, apart, pa.scalar("", apart.type)), " ")
+            flat, nothing = lists.flatten(), None
+        n = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        if nothing is None:
+            nothing = (np.cumsum(n) - n)[bare.to_numpy(zero_copy_only=False).astype(bool)]
+        return flat, n, nothing
+
+    def encode(self, texts: pa.Array | Iterable[str | None]) -> list[np.ndarray]:
+        """One array of 32-bit ids per text; a NULL text is empty.
+
+        Arrow cuts a column of texts and numbers its distinct cuts; only those are looked up.
+        """
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        texts = pc.fill_null(texts, "")
+        whole = self._whole_ones(texts)
+        flat, n, nothing = self._cuts(pc.if_else(pa.array(~whole), texts, pa.scalar("", texts.type)))
+        coded = flat.dictionary_encode()
+        values = coded.dictionary
+        words = (values.cast(pa.large_binary()) if self.drops_blanks else values).to_numpy(zero_copy_only=False).tolist()
         self.known.turn()
-        get = self.known.young.get
-        found = [list(map(get, c)) if c else [] for c in cuts]
-        gaps = []  # places of cuts that this worker has not met
-        for ids, words in zip(found, cuts):
-            if None in ids:
-                gaps += [(ids, at, words[at]) for at, known in enumerate(ids) if known is None]
+        young = self.known.young
+        found = list(map(young.get, words))
+        gaps = [(at, words[at]) for at, known in enumerate(found) if known is None and words[at] != b""]
         if gaps:
-            self._make(self.known.missing({w for _, _, w in gaps}))
-            young = self.known.young
-            for ids, at, w in gaps:
-                ids[at] = young[w]
-        out = [b"".join(ids) for ids in found]
-        whole = [i for i, c in enumerate(cuts) if c is None]
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole]) if whole else []):
-            out[i] = ids
-        return [np.frombuffer(ids, "<u4") for ids in out]
+            self._make(self.known.missing({w for _, w in gaps}))
+            for at, w in gaps:
+                found[at] = young[w]
+        found = [ids or b"" for ids in found]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        code = coded.indices.to_numpy()
+        length = sizes[code]
+        length[nothing] = 0
+        ends = np.cumsum(length)
+        from_ = (np.cumsum(sizes) - sizes)[code] - (ends - length)
+        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(from_, length) + np.arange(len(code) and ends[-1])]
+        bounds = np.append(0, ends)[np.cumsum(n)]
+        out = np.split(ids, bounds[:-1]) if len(bounds) else []
+        places = np.flatnonzero(whole).tolist()
+        for i, packed in zip(places, self._whole([texts[i].as_py() for i in places]) if places else []):
+            out[i] = np.frombuffer(packed, "<u4")
+        return out
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -198,12 +226,18 @@ def encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
-def sub_batches(texts: pa.Array, size: int = 4_000_000) -> Iterator[tuple[int, list[str | None]]]:
+def slices(texts: pa.Array, size: int = 4_000_000) -> Iterator[tuple[int, pa.Array]]:
     """Runs of the texts of a batch that hold about ``size`` bytes together, each with its first place."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     first, n = 0, len(ends)
     while first < n:
         before = int(ends[first - 1]) if first else 0
         last = max(first + 1, int(np.searchsorted(ends, before + size, "right")))
-        yield first, texts.slice(first, last - first).to_pylist()
+        yield first, texts.slice(first, last - first)
         first = last
+
+
+def sub_batches(texts: pa.Array, size: int = 4_000_000) -> Iterator[tuple[int, list[str | None]]]:
+    """The same as lists."""
+    for first, some in slices(texts, size):
+        yield first, some.to_pylist()
