@@ -70,11 +70,12 @@ END_KEY = word_key(b"")
 def _sequences(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """Every byte of the padded texts with its context, as context * 256 + byte; bytes per text."""
     pad = bytes([END]) * order
-    data = np.frombuffer(b"".join(pad + t + bytes([END]) for t in texts), np.uint8)
+    data = bytes(7 - order) + b"".join([pad + t + bytes([END]) for t in texts])
+    # eight bytes from every place on, of which the last ones are the sequence
+    windows = np.ndarray((max(len(data) - 7, 0),), ">u8", data, strides=(1,))
+    key = windows.astype(np.uint64)
+    key &= np.uint64((1 << 8 * (order + 1)) - 1)
     lengths = np.array([len(t) + 1 for t in texts], np.int64)
-    key = np.zeros(max(len(data) - order, 0), np.uint64)
-    for k in range(order + 1):
-        key = (key << np.uint64(8)) | data[k : k + len(key)]
     skip = np.zeros(len(key), bool)  # places whose byte is the next text's padding
     ends = np.cumsum(lengths + order)[:-1]
     for k in range(order):
@@ -82,6 +83,12 @@ def _sequences(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return key[~skip], lengths
 
 
+def _distinct(key: np.ndarray) -> np.ndarray:
+    """Ascending distinct values; sorts ``key`` in place."""
+    key.sort()
+    return key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
+
+
 def count(train: DataFrame, order: int = ORDER) -> DataFrame:
     """Counts of the training texts: rows (``kind``, ``key``, ``n``).
 
@@ -157,7 +164,9 @@ class Level(NamedTuple):
 
 def level(keys: np.ndarray, n: np.ndarray, length: int, shorter: Level | None) -> Level:
     """The contexts of ``length`` bytes, from sorted keys and counts and the level below."""
-    contexts, first = np.unique(keys >> 8, return_index=True)
+    ahead = keys >> 8
+    first = np.flatnonzero(np.concatenate([[True], ahead[1:] != ahead[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    contexts = ahead[first]
     sums = lambda x: np.add.reduceat(x, first) if len(x) else np.zeros(0, np.int64)
     total, distinct = sums(n), np.diff(np.append(first, len(keys)))
     bottom = np.log10(total + distinct)
@@ -241,7 +250,7 @@ def _asking(docs: DataFrame, order: int, shards: int, size: int) -> DataFrame:
         types: list[pa.DataType] = []
 
         def asked() -> pa.RecordBatch:
-            keys = np.unique(np.concatenate(held)).astype(np.int64)
+            keys = _distinct(np.concatenate(held)).astype(np.int64)
             shard = _shard(keys, shards)
             by = np.argsort(shard, kind="stable")
             own, first = np.unique(shard[by], return_index=True)
@@ -255,7 +264,7 @@ def _asking(docs: DataFrame, order: int, shards: int, size: int) -> DataFrame:
             for a, texts in sub_batches(batch.column(1)):
                 b = a + len(texts)
                 key, lengths = _sequences([lowered(t) for t in texts], order)
-                held.append(np.unique(key))
+                held.append(_distinct(key))
                 bytes_ += int(lengths.sum())
                 yield pa.RecordBatch.from_arrays([
                     *[c.slice(a, b - a) for c in batch.columns], pa.array(np.full(b - a, chunk)),
@@ -295,7 +304,14 @@ def _priced(asked: DataFrame, pairs: DataFrame, order: int, shards: int) -> Data
 def text_scores(texts: list[bytes], keys: np.ndarray, cost: np.ndarray, order: int) -> np.ndarray:
     """log10 probability of each text, from the costs of its sequences by sorted keys."""
     key, lengths = _sequences(texts, order)
-    found = cost[np.searchsorted(keys, key.astype(np.int64))].astype(np.float64)
+    found = np.empty(len(key))
+    spare = min(64 - 8 * (order + 1), 16)  # bits of a key that hold its place while a run of keys is sorted
+    asked, place = keys.astype(np.uint64), np.arange(1 << spare, dtype=np.uint64)
+    for at in range(0, len(key), 1 << spare):
+        run = key[at : at + (1 << spare)] << np.uint64(spare)
+        run |= place[: len(run)]
+        run.sort()  # ascending look-ups stay in the cache
+        found[at + (run & np.uint64((1 << spare) - 1)).astype(np.int64)] = cost[np.searchsorted(asked, run >> np.uint64(spare))]
     return np.add.reduceat(found, np.cumsum(lengths) - lengths)
 
 

@@ -269,6 +269,41 @@ def ids_of(path, text):
     return library.encode(text or "", add_special_tokens=False).ids
 
 
+def test_a_column_looks_up_each_distinct_cut_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            Counted.asked += 1
+            return super().get(key)
+
+    own = tokens.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    own.known.young = Counted()
+    texts = ["and so on " * 500, None, "", " and\nso on"]
+    got = own.encode(pa.array(texts, pa.string()))
+    assert Counted.asked < 20
+    assert [x.tolist() for x in got] == [own.library.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_sequences_of_texts_are_looked_up_in_order(monkeypatch):
+    rng = random.Random(5)
+    texts = [bytes(rng.choices(b"ab \xc3", k=rng.randrange(300))) for _ in range(40)] + [b""]
+    for order in (1, 5, 6):
+        key, lengths = lm_scoring._sequences(texts, order)
+        plain = [
+            [int.from_bytes((bytes([255]) * order + t + b"\xff")[i : i + order + 1], "big") for i in range(len(t) + 1)] for t in texts
+        ]
+        assert key.tolist() == [k for p in plain for k in p] and lengths.tolist() == [len(p) for p in plain]
+        keys = np.unique(key).astype(np.int64)
+        cost = -np.arange(len(keys), dtype=np.float32)
+        at = {k: i for i, k in enumerate(keys.tolist())}
+        rises, search = [], np.searchsorted
+        monkeypatch.setattr(np, "searchsorted", lambda a, v, *r: (rises.append(bool((np.diff(v.astype(np.int64)) >= 0).all())), search(a, v, *r))[1])
+        got = lm_scoring.text_scores(texts, keys, cost, order)
+        monkeypatch.undo()
+        assert got.tolist() == [-float(sum(at[k] for k in p)) for p in plain] and rises and all(rises)
+
+
 @pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
 def test_cut_texts_have_the_librarys_ids(path):
     rng = random.Random(1)
