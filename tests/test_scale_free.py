@@ -124,3 +124,16 @@ def test_layouts_of_vectors_write_no_pairs(spark, monkeypatch):
         gr.stress_majorisation(pairs, start.filter("src <> 3"))
     none, history = gr.stress_majorisation(neighbors.EuclideanPairs(rows.limit(0)), gr.mds(neighbors.EuclideanPairs(rows.limit(0))))
     assert none.count() == 0 and history == []
+
+
+def test_dense_rows_are_widened_by_spark(table):
+    """Rows get their width after Python and are dealt to all partitions; they and their way back are the matrix."""
+    m, x, obs, var = table
+    index = mx.feature_index(var)
+    dense = mx.to_vectors(x, obs, index, 60)
+    plan = dense._jdf.queryExecution().toString()
+    assert "MapInPandas" not in plan and "REPARTITION_BY_NUM" in plan
+    rows = {r.cell_id: r.v for r in dense.collect()}
+    assert rows.keys() == set(range(150)) and all(np.array_equal(rows[i], m[i]) for i in rows)
+    back = sorted((r.cell_id, r.gene_id, r.value) for r in mx.from_vectors(dense, index).collect())
+    assert back == [(i, j, m[i, j]) for i, j in np.argwhere(m).tolist()]
