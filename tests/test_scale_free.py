@@ -137,3 +137,22 @@ def test_dense_rows_are_widened_by_spark(table):
     assert rows.keys() == set(range(150)) and all(np.array_equal(rows[i], m[i]) for i in rows)
     back = sorted((r.cell_id, r.gene_id, r.value) for r in mx.from_vectors(dense, index).collect())
     assert back == [(i, j, m[i, j]) for i, j in np.argwhere(m).tolist()]
+
+
+def test_rows_find_their_pivots_in_slices(spark, monkeypatch):
+    """However many pivots there are, a task holds a bounded number of distances to them."""
+    v = np.random.default_rng(37).normal(size=(300, 4))
+    emb = spark.createDataFrame([(i, [float(a) for a in v[i]]) for i in range(300)], "cell_id long, v array<double>")
+    whole = neighbors.pivot_distances
+
+    def bounded(vectors, pivots):
+        assert len(vectors) * len(pivots) <= 64
+        return whole(vectors, pivots)
+
+    monkeypatch.setattr(neighbors, "ASSIGN_CELLS", 64, raising=False)
+    monkeypatch.setattr(neighbors, "pivot_distances", bounded)
+    got = {(r.src, r["rank"]): r.dst for r in neighbors.knn(emb, 3, direct_rows=0).collect()}
+    dist = np.linalg.norm(v[:, None] - v[None], axis=2)
+    np.fill_diagonal(dist, np.inf)
+    want = np.argsort(dist, axis=1)[:, :3]
+    assert got == {(i, k + 1): want[i, k] for i in range(300) for k in range(3)}
