@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from heddle.operators import components, descent, graph as gr, matrix as mx, neighbors, paths, samples
+from heddle.operators import components, descent, graph as gr, matrix as mx, neighbors, paths, qc, samples
 
 
 @pytest.fixture(scope="module")
@@ -156,3 +156,27 @@ def test_rows_find_their_pivots_in_slices(spark, monkeypatch):
     np.fill_diagonal(dist, np.inf)
     want = np.argsort(dist, axis=1)[:, :3]
     assert got == {(i, k + 1): want[i, k] for i in range(300) for k in range(3)}
+
+
+def test_doublet_scores_keep_lists_instead_of_pairs(spark, monkeypatch):
+    """Neighbours are counted from the list of each row, with the scores that the written pairs give."""
+    rng = np.random.default_rng(41)
+    m = rng.poisson(np.where(np.arange(16) < 8, 6, 1) * np.ones((90, 1)))
+    m[45:] = m[45:, ::-1]
+    x = spark.createDataFrame([(int(i), int(j), float(m[i, j])) for i, j in np.argwhere(m)], "cell_id long, gene_id long, value double")
+    # batches of two sizes have two numbers of neighbours; the third is too small
+    obs = spark.createDataFrame([(i, "a" if i < 50 else "b" if i < 84 else "c") for i in range(90)], "cell_id long, batch string")
+    var = spark.createDataFrame([(j,) for j in range(16)], "gene_id long")
+
+    def pairs(*args, **kwargs):
+        raise AssertionError("pairs of rows are made")
+
+    def from_pairs(emb, k, same):
+        near = F.array_sort(F.collect_list(F.struct("rank", "dst")))
+        return neighbors.knn(emb, k, same=same).groupBy("src").agg(near.alias("near"))
+
+    monkeypatch.setattr(qc, "knn", pairs)
+    scores = lambda: {r.cell_id: tuple(r)[1:] for r in qc.doublet_scores(x, obs, var, "batch", min_cells=10, n_top=10, n_comps=3).collect()}
+    got = scores()
+    monkeypatch.setattr(qc, "nearest_lists", from_pairs)
+    assert got == scores() and len({s for s, _ in got.values()}) > 2 and got[89] == (0.0, False)
