@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from heddle.operators import communities as cm
+from heddle.operators import communities as cm, graph as gr
 
 SCHEMA = "src long, dst long, weight double"
 
@@ -91,3 +91,32 @@ def test_gains_of_single_moves(spark, gamma):
         other = comm.copy()
         other[r.node] = -1 if r.to is None or r.to != r.to else int(r.to[1:])
         assert abs(2 * r.rise / m2 - (modularity(w, other, gamma) - before)) < 1e-9
+
+
+def two_run_graph(spark):
+    """Planted groups in runs ``a`` and ``b``, ids that sort otherwise as text, an edge to a node without edges of its own."""
+    rng, edges = np.random.default_rng(3), []
+    for run, n, groups in (("a", 60, 4), ("b", 33, 3)):
+        own = rng.integers(0, groups, n)
+        for i in range(n):
+            for j in range(i):
+                if rng.random() < (0.5 if own[i] == own[j] else 0.06):
+                    w = float(rng.random() + 0.1)
+                    edges += [(run, f"n{i}", f"n{j}", w), (run, f"n{j}", f"n{i}", w)]
+        edges.append((run, "n1", "outside", 0.3))
+    edges.append((None, "n1", "n2", 1.0))
+    return spark.createDataFrame(edges, "part string, src string, dst string, weight double")
+
+
+def test_runs_clustered_in_tasks_equal_the_joins(spark, monkeypatch):
+    edges = two_run_graph(spark)
+    rows = lambda: sorted(map(tuple, gr.cluster(edges, [0.5, 1.5], "louvain", run=["part"]).collect()))
+    joins, by_joins = gr._cluster_by_joins, []
+    monkeypatch.setattr(gr, "_cluster_by_joins", lambda *a: by_joins.append(1) or joins(*a))
+    in_tasks = rows()
+    assert not by_joins and len(in_tasks) == 2 * (60 + 33)
+    monkeypatch.setattr(gr, "TASK_EDGES", 10)  # every run is too large for a task
+    assert rows() == in_tasks and by_joins
+    monkeypatch.setattr(gr, "TASK_EDGES", 3 << 19)
+    monkeypatch.setattr(gr, "COINS", 2)  # the coins do not reach
+    assert rows() == in_tasks and len(by_joins) == 2
