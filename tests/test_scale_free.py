@@ -218,3 +218,21 @@ def test_layout_query_runs_all_epochs(spark, sf, monkeypatch):
     monkeypatch.setattr(gr, "umap_layout", layout)
     entry.queries()["g10_umap_layout"](spark, sf)
     assert "n_epochs" not in asked
+
+
+def test_prepared_graph_reaches_the_result(spark, sf, monkeypatch):
+    """The query of the prepared table depends on the graph that the corrected matrix is given."""
+    import __spark_entry__ as entry
+    from heddle.plans import evaluate
+    from heddle.sources.table import AnnotatedTable
+
+    kinds, before = [], spark.createDataFrame([(1, [0.5]), (2, [1.5])], "cell_id long, v array<double>")
+    edges = spark.createDataFrame([(1, 2, 3.0), (1, 3, 4.0)], "src long, dst long, dist double")
+
+    def prepare(corrected, unintegrated, output_type, *args):
+        kinds.append(output_type)
+        return AnnotatedTable({"obsp/distances": edges, "obsp/connectivities": edges.withColumnRenamed("dist", "weight")}), before
+
+    monkeypatch.setattr(evaluate, "prepare", prepare)
+    got = {r.cell_id: tuple(r)[1:] for r in entry.queries()["x24_prepare_full"](spark, sf).collect()}
+    assert kinds == ["full"] and got == {1: ([0.5], 2, 7.0, 7.0), 2: ([1.5], None, None, None)}
