@@ -258,3 +258,20 @@ def test_mixtures_send_a_model_to_slices_of_a_sample(spark, monkeypatch):
         fits.append({r["sample"]: np.concatenate([r["w"], r["mu"], r["cov"]]) for r in samples.fit_sample_mixtures(emb, "sample", 2).collect()})
         assert len(joined) > 2 and set(joined) == {150 if most == 1 else 5}
     assert set(fits[0]) == {"a", "b"} and all(np.allclose(fits[0][k], fits[1][k]) for k in fits[0])
+
+
+def test_pairs_of_kept_samples_alone_are_made(spark, monkeypatch):
+    """Samples are dropped before their pairs are made, with the rows that dropping pairs leaves."""
+    events = spark.createDataFrame([(u, "abc"[(u * k) % 3]) for u in range(9) for k in range(4)] + [(None, "a"), (3, None)], "u long, t string")
+    kept = events.filter("u % 3 = 0")
+    rows = lambda d: sorted((r.src, r.dst, round(r.dist, 9)) for r in d.collect())
+    want = rows(samples.keep_samples(samples.composition_distances(events, "u", "t"), kept, "u"))
+    made, whole = [], samples.pairwise_blocks
+
+    def counted(left, *args, **kwargs):
+        made.append(left.count())
+        return whole(left, *args, **kwargs)
+
+    monkeypatch.setattr(samples, "pairwise_blocks", counted)
+    got = samples.keep_samples(samples.composition_distances(events, "u", "t", written=False), kept, "u")
+    assert rows(got) == want and len(want) == 9 and made == [3]
