@@ -275,3 +275,18 @@ def test_pairs_of_kept_samples_alone_are_made(spark, monkeypatch):
     monkeypatch.setattr(samples, "pairwise_blocks", counted)
     got = samples.keep_samples(samples.composition_distances(events, "u", "t", written=False), kept, "u")
     assert rows(got) == want and len(want) == 9 and made == [3]
+
+
+def test_vote_query_runs_all_rounds(spark, sf, monkeypatch):
+    """The registered votes leave the number of rounds to the operator."""
+    import __spark_entry__ as entry
+
+    asked = {}
+
+    def votes(x, obs, var, batch, **args):
+        asked.update(args)
+        return obs.select("cell_id", F.lit(0.0).alias("doublet_score"), F.lit(False).alias("predicted_doublet"))
+
+    monkeypatch.setattr(qc, "doublet_votes", votes)
+    entry.queries()["q7_doublet_votes"](spark, sf)
+    assert "n_rounds" not in asked
